@@ -97,7 +97,13 @@ def with_instant(df: DataFrame, raw: str, out: str, zone: str = LOCAL_ZONE) -> D
         .when(F.col("__offset").isNull(), _local_to_utc(F.col("__local"), zone))
         .otherwise(F.col("__local") - F.col("__offset").cast("long") * 60_000_000)
     )
-    return df.withColumn(out, instant).drop(s, p, "__local", "__offset")
+    return _behind(df, out, instant).drop(s, p, "__local", "__offset")
+
+
+def _behind(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """withColumn through a one-element explode: the optimiser does not copy the
+    long expression into filters and aggregates above it."""
+    return df.withColumn(name, F.explode(F.array(value)))
 
 
 def local_day(micros: Column, zone: str = LOCAL_ZONE) -> Column:
