@@ -3,13 +3,81 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyforge.llm import addresses
+from tallyforge.functions.timestamps import local_day, with_instant
+from tallyforge.llm import addresses, bpe, currency, topn
+
+
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return addresses.same_location(spark.read.parquet(f"{sf_dir}/transactions.parquet"))
+    return addresses.same_location(_read(spark, sf_dir, "transactions"))
+
+
+#: The fields a filing's survivor is filled in for.
+FILING_FIELDS = ["committee_name", "candidate_name", "election_cycle"]
+
+
+def _filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_report with its filing key (code, due_day) and report_date as instant."""
+    df = with_instant(with_instant(_read(spark, sf_dir, "dim_report"), "due_date", "due"), "report_date", "reported")
+    df = df.withColumn("code", F.upper(F.trim("committee_code"))).withColumn("due_day", local_day(F.col("due")))
+    return df.filter("code <> '' AND due_day IS NOT NULL")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    declared = [F.coalesce("amendment_count", F.lit(0)), F.col("reported")]
+    best = currency.survivors(_filings(spark, sf_dir), ["code", "due_day"], declared, FILING_FIELDS, "report_row_id")
+    return best.select(F.col("code").alias("committee_code"), "due_day", F.col("survivor").alias("survivor_row_id"), *[F.col(f"{f}_row").alias(f"{f}_row_id") for f in FILING_FIELDS])
+
+
+def p4_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As p4_found, but records without amendment number or report date are placed
+    by the precedence of election cycles learnt from timestamped records."""
+    df = _filings(spark, sf_dir)
+    steps = currency.transitions(df, ["code", "due_day"], "reported", "election_cycle", "report_row_id")
+    level = currency.levels(currency.precedence(steps)).select(F.col("value").alias("election_cycle"), "level")
+    df = df.join(level, "election_cycle", "left")
+    declared = [F.col("amendment_count"), F.col("reported")]
+    best = currency.survivors(df, ["code", "due_day"], declared, FILING_FIELDS, "report_row_id", learnt=F.col("level"))
+    return best.select(F.col("code").alias("committee_code"), "due_day", F.col("survivor").alias("survivor_row_id"), *[F.col(f"{f}_row").alias(f"{f}_row_id") for f in FILING_FIELDS])
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topn.top_n(_read(spark, sf_dir, "top_donors"), "committee_code", "total_amount", 5, "entity_name_normalized", "donor_row_id")
+
+
+P6_SQL = """
+WITH first AS (
+  SELECT upper(trim(committee_code)) AS code, total_amount, entity_name_normalized AS name, donor_row_id,
+         row_number() OVER (PARTITION BY upper(trim(committee_code)), entity_name_normalized ORDER BY total_amount DESC, donor_row_id) AS rn
+  FROM top_donors WHERE trim(committee_code) <> '' AND total_amount IS NOT NULL AND NOT isnan(total_amount)
+), placed AS (
+  SELECT code, donor_row_id, row_number() OVER (PARTITION BY code ORDER BY total_amount DESC, name ASC NULLS FIRST, donor_row_id) AS place FROM first WHERE rn = 1
+)
+SELECT code AS committee_code, place, donor_row_id FROM placed WHERE place <= 5
+"""
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(_read(spark, sf_dir, "documents"))
+
+
+def p8_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and tokens by source as written."""
+    sizes = bpe.counted(_read(spark, sf_dir, "documents"), keep=("source",))
+    return sizes.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("tokens").alias("tokens"))
 
 
-QUERIES = {"p1_found": p1_found}
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    "p1_found": p1_found,
+    "p4_found": p4_found,
+    "p4_current": p4_current,
+    "p6_found": p6_found,
+    "p8_ids": p8_ids,
+    "p8_counts": p8_counts,
+}
+ORACLE: dict[str, str] = {"p6_found": P6_SQL}
