@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.timestamps import local_day, with_instant
-from tallyforge.llm import addresses, bpe, currency, topn
+from tallyforge.llm import addresses, bpe, currency, mixture, topn
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -72,6 +72,20 @@ def p8_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("tokens").alias("tokens"))
 
 
+#: Weights by time: the small sources, which are used several times, rise.
+CURRICULUM = {"help_desk": ((0.0, 0.5), (1.0, 1.5)), "treasurer_memos": ((0.0, 0.5), (0.5, 0.5), (1.0, 2.0)), "filing_notes": ((0.0, 1.5), (1.0, 0.5))}
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture in training order: position, doc_id, source, round, tokens."""
+    return mixture.mixture(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "source_targets"), schedule=CURRICULUM)[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of every listed source."""
+    return mixture.mixture(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "source_targets"), schedule=CURRICULUM)[1]
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p4_found": p4_found,
@@ -79,5 +93,7 @@ QUERIES = {
     "p6_found": p6_found,
     "p8_ids": p8_ids,
     "p8_counts": p8_counts,
+    "p9_mixture": p9_mixture,
+    "p9_shares": p9_shares,
 }
 ORACLE: dict[str, str] = {"p6_found": P6_SQL}
