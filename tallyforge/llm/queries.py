@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.timestamps import local_day, with_instant
-from tallyforge.llm import addresses, bpe, currency, mixture, topn
+from tallyforge.llm import addresses, bpe, currency, mixture, names, topn
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -62,6 +62,10 @@ SELECT code AS committee_code, place, donor_row_id FROM placed WHERE place <= 5
 """
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.same_names(_read(spark, sf_dir, "fact_transaction"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(_read(spark, sf_dir, "documents"))
 
@@ -91,6 +95,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_current": p4_current,
     "p6_found": p6_found,
+    "p7_found": p7_found,
     "p8_ids": p8_ids,
     "p8_counts": p8_counts,
     "p9_mixture": p9_mixture,
