@@ -87,8 +87,7 @@ def parsed(df: DataFrame, address: str, city: str, postcode: str, *keep: str) ->
     placed = (F.col("c") != "") | (F.col("z") != "")
     kind = F.when(is_box & placed, "box").when(~is_box & (F.col("number") != "") & street.rlike("[a-z]"), "street")
     part = lambda c: F.when(is_box, "").otherwise(c)
-    return df.select(
-        *keep,
+    form = F.struct(
         kind.alias("kind"),
         F.regexp_replace("number", r"^0+(?=.)", "").alias("number"),
         part(F.coalesce("d0", "d1", F.lit(""))).alias("dir"),
@@ -97,6 +96,8 @@ def parsed(df: DataFrame, address: str, city: str, postcode: str, *keep: str) ->
         F.col("c").alias("city"),
         F.col("z").alias("zip"),
     )
+    # Through a one-element explode: filters above do not copy the whole parse into themselves.
+    return df.select(*keep, F.explode(F.array(form)).alias("__form")).select(*keep, "__form.*")
 
 
 PARTS = ["kind", "number", "dir", "street", "type", "city", "zip"]
