@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.timestamps import local_day, with_instant
-from tallyforge.llm import addresses, bpe, currency, mixture, names, topn
+from tallyforge.llm import addresses, bpe, currency, mixture, moderation, names, topn
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -90,6 +90,26 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixture(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "source_targets"), schedule=CURRICULUM)[1]
 
 
+def _moderated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return moderation.moderated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "moderation_labels"), keep=("source",))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moderated(spark, sf_dir).filter(F.col("score") >= moderation.THRESHOLD).select("doc_id")
+
+
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document."""
+    return _moderated(spark, sf_dir).select("doc_id", "score")
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, those found and their rate by source."""
+    found = F.sum((F.col("score") >= moderation.THRESHOLD).cast("long"))
+    rates = _moderated(spark, sf_dir).groupBy(mixture.source_key(F.col("source")).alias("source")).agg(F.count(F.lit(1)).alias("documents"), found.alias("found"))
+    return rates.withColumn("rate", F.col("found") / F.col("documents"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p4_found": p4_found,
@@ -100,5 +120,8 @@ QUERIES = {
     "p8_counts": p8_counts,
     "p9_mixture": p9_mixture,
     "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_scores": p10_scores,
+    "p10_rates": p10_rates,
 }
 ORACLE: dict[str, str] = {"p6_found": P6_SQL}
