@@ -148,7 +148,7 @@ def tables_of(spark: SparkSession, sql: str) -> list[str]:
     """The tables a statement reads, by its parsed plan."""
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
     cte = set(re.findall(r"CTE \[([^\]]*)\]", plan)[0].split(", ")) if "CTE [" in plan else set()
-    return sorted({n.replace("`", "") for n in re.findall(r"'UnresolvedRelation \[([^\]]+)\]", plan)} - cte)
+    return sorted({n.replace("`", "").replace(", ", ".") for n in re.findall(r"'UnresolvedRelation \[([^\]]+)\]", plan)} - cte)
 
 
 def expand_acronyms(text: str, meanings: Mapping[str, str]) -> str:

@@ -50,7 +50,7 @@ def completeness(found: DataFrame, expected: Sequence[str]) -> DataFrame:
 def error_pages(spark: SparkSession, root: str, below: int = 100) -> DataFrame:
     """(path, body) of small downloads that are an error page and no data."""
     small = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).filter(F.col("length") < below)
-    return small.select("path", F.lower(F.decode("content", F.lit("ISO-8859-1"))).alias("body")).filter(F.col("body").rlike("error|forbidden|<html"))
+    return small.select("path", F.lower(F.decode("content", "ISO-8859-1")).alias("body")).filter(F.col("body").rlike("error|forbidden|<html"))
 
 
 def headers(spark: SparkSession, paths: str | Sequence[str], encoding: str = "ISO-8859-1") -> DataFrame:
