@@ -24,8 +24,8 @@ def em_weights(patterns: Mapping[tuple[int, ...], int], random: Sequence[Mapping
     patterns: how many blocked pairs show each tuple of levels. random: for each
     field the probability of each level for two records drawn at random, which is
     known from value frequencies and stays fixed; what matches show is estimated.
-    MISSING is a level like any other, with its own two probabilities. Matches are
-    smoothed by half a pair a level, so every weight is finite."""
+    MISSING is a level with its own two probabilities, but its weight is 0 at most.
+    Matches are smoothed by half a pair a level, so every weight is finite."""
     u = [{x: max(v, 1e-9) for x, v in f.items()} for f in random]
     # Before any evidence matches agree: the levels are given from the highest agreement on.
     m = [{x: 0.6**i for i, x in enumerate(f)} for f in u]
@@ -48,7 +48,9 @@ def em_weights(patterns: Mapping[tuple[int, ...], int], random: Sequence[Mapping
         p = new
         if done:
             break
-    return [{x: math.log2(m[i][x] / u[i][x]) for x in f} for i, f in enumerate(u)], p
+    weights = [{x: math.log2(m[i][x] / u[i][x]) for x in f} for i, f in enumerate(u)]
+    # That a part is missing is never evidence for a match.
+    return [{x: min(v, 0.0) if x == MISSING else v for x, v in f.items()} for f in weights], p
 
 
 def value_rates(records: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

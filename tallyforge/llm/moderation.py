@@ -70,7 +70,7 @@ class Words:
     @classmethod
     def of(cls, weight: dict[str, float]) -> Words:
         out: dict[int, list[tuple[float, str]]] = defaultdict(list)
-        for w, v in {**{w: 1e6 for c, ws in LEXICON.items() if c != "TARGET" for w in ws.split()}, **weight}.items():
+        for w, v in {**{w: 0.0 for c, ws in LEXICON.items() if c != "TARGET" for w in ws.split()}, **weight}.items():
             out[len(w)].append((v if w not in _CLASS else 1e6 + v, w))
         return cls({n: sorted(ws, key=lambda x: (-x[0], x[1])) for n, ws in out.items()})
 
@@ -102,6 +102,8 @@ def _singular(word: str) -> str:
 
 def _joined(match: re.Match) -> str:
     letters = re.sub(r"[ .\-_*]", "", match.group(0)).lower()
+    if "*" in match.group(0) and letters not in _CLASS:
+        return match.group(0)  # stars that hide letters, not set them apart
     # `a a s s h o l e`: an article before the word set apart.
     if " " in match.group(0) and letters[0] in "ai" and letters[1:] in _CLASS:
         return letters[0] + " " + letters[1:]
