@@ -202,7 +202,7 @@ def locations(df: DataFrame, row: str = "id", address: str = "entity_address", c
     hash of its most complete form."""
     rows = parsed(df, address, city, postcode, row).filter("kind IS NOT NULL").withColumn("form", F.xxhash64(*PARTS))
     rows = stored(rows, "address-rows")
-    forms = rows.groupBy("form").agg(*[F.first(c).alias(c) for c in PARTS], F.count(F.lit(1)).alias("n"))
+    forms = stored(rows.groupBy("form").agg(*[F.first(c).alias(c) for c in PARTS], F.count(F.lit(1)).alias("n")), "address-forms")
     top = form_roots(forms)
     return rows.select(row, "form").join(top, F.col("form") == F.col("node"), "left").select(row, F.coalesce("root", "form").alias("location"))
 
