@@ -66,6 +66,10 @@ class Words:
     """Words that masked ones may stand for, by length, with how telling they are."""
 
     by_length: dict[int, list[tuple[float, str]]] = field(default_factory=dict)
+    plain: dict[str, str] = field(default_factory=dict, repr=False)
+
+    def __getstate__(self) -> dict:
+        return {"by_length": self.by_length, "plain": {}}
 
     @classmethod
     def of(cls, weight: dict[str, float]) -> Words:
@@ -126,38 +130,103 @@ def tokens(segment: str, words: Words) -> list[str]:
     titled = [t[0].isupper() and (t[1:].islower() or len(t) == 1) and t != "I" for t in raw]
     out = []
     for i, t in enumerate(raw):
-        word = _word(t.lower(), words)
+        low = t.lower()
+        word = words.plain.get(low)
+        if word is None:
+            if len(words.plain) >= CACHE:
+                words.plain.clear()
+            word = words.plain[low] = _word(low, words)
         if titled[i] and word not in _CLASS and (i or (len(raw) > 1 and titled[1])):
             word = "Name"
         out.append(word)
     return out
 
 
-def features(toks: list[str]) -> list[int]:
-    """Hashed unigrams to trigrams, skip-bigrams and the same over word classes."""
-    kinds = [_CLASS.get(t) or _CLASS.get(_singular(t)) for t in toks]
-    seen = {"*"}
-    n = len(toks)
-    for i, t in enumerate(toks):
-        seen.add(t)
-        if i + 1 < n:
-            seen.add(f"{t} {toks[i + 1]}")
-        if i + 2 < n:
-            seen.add(f"{t} {toks[i + 1]} {toks[i + 2]}")
-            seen.add(f"{t} _ {toks[i + 2]}")
-        if i + 3 < n:
-            seen.add(f"{t} __ {toks[i + 3]}")
-        k = kinds[i]
-        if k:
-            seen.add(f"#{k}")
+#: Words whose hash and plain form a worker keeps.
+CACHE = 200_000
+_hashes: dict[str, int] = {}
+
+
+def _hash(word: str) -> int:
+    h = _hashes.get(word)
+    if h is None:
+        if len(_hashes) >= CACHE:
+            _hashes.clear()
+        h = _hashes[word] = zlib.crc32(word.encode("utf-8", "replace"))
+    return h
+
+
+_classes: dict[str, str | None] = {}
+
+
+def _class(word: str) -> str | None:
+    """The class of a word or of its singular."""
+    if word in _classes:
+        return _classes[word]
+    if len(_classes) >= CACHE:
+        _classes.clear()
+    k = _classes[word] = _CLASS.get(word) or _CLASS.get(_singular(word))
+    return k
+
+
+#: Odd multipliers and offsets that tell the kinds of features apart.
+_MIX = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
+_BIGRAM, _TRIGRAM, _SKIP1, _SKIP2, _CLASS_LEFT, _CLASS_RIGHT, _CLASS_PAIR = (0x1000193 * i for i in range(1, 8))
+
+
+def _slot(*hashes: int, kind: int = 0) -> int:
+    """The place of a feature: its words' hashes mixed by their order and kind."""
+    h = kind
+    for x, m in zip(hashes, _MIX):
+        h += x * m
+    return (h ^ (h >> 17)) & MASK
+
+
+def _slots(kind: int, *columns: np.ndarray) -> np.ndarray:
+    h = np.full(len(columns[0]), kind, dtype=np.int64)
+    for x, m in zip(columns, _MIX):
+        h = h + x * m
+    return (h ^ (h >> 17)) & MASK
+
+
+BIAS = _slot(zlib.crc32(b"*"))
+
+
+def features(segs: list[list[str]]) -> np.ndarray:
+    """Hashed unigrams to trigrams, skip-bigrams and the same over word classes of
+    segments, each once a segment, as `segment << BITS | slot` in ascending order."""
+    h = np.fromiter((_hash(t) for s in segs for t in s), dtype=np.int64)
+    at = np.repeat(np.arange(len(segs), dtype=np.int64), [len(s) for s in segs])
+    parts = [(np.arange(len(segs), dtype=np.int64) << BITS) | BIAS, (at << BITS) | _slots(0, h)]
+    for reach, kind, columns in ((1, _BIGRAM, (0, 1)), (2, _TRIGRAM, (0, 1, 2)), (2, _SKIP1, (0, 2)), (3, _SKIP2, (0, 3))):
+        if len(h) > reach:
+            n = len(h) - reach
+            inside = at[:n] == at[reach:]
+            parts.append(((at[:n] << BITS) | _slots(kind, *[h[c : c + n] for c in columns]))[inside])
+    own = []
+    for number, toks in enumerate(segs):
+        kinds = [(i, k) for i, t in enumerate(toks) if (k := _class(t))]
+        base, n = number << BITS, len(toks)
+        for x, (i, k) in enumerate(kinds):
+            c = _hash("#" + k)
+            own.append(base | _slot(c))
             if i:
-                seen.add(f"{toks[i - 1]} #{k}")
+                own.append(base | _slot(_hash(toks[i - 1]), c, kind=_CLASS_LEFT))
             if i + 1 < n:
-                seen.add(f"#{k} {toks[i + 1]}")
-            for j in range(i + 1, min(n, i + 7)):
-                if kinds[j]:
-                    seen.add(f"#{k} ~ #{kinds[j]}")
-    return [zlib.crc32(s.encode("utf-8", "replace")) & MASK for s in seen]
+                own.append(base | _slot(c, _hash(toks[i + 1]), kind=_CLASS_RIGHT))
+            for j, other in kinds[x + 1 :]:
+                if j > i + 6:
+                    break
+                own.append(base | _slot(c, _hash("#" + other), kind=_CLASS_PAIR))
+    if own:
+        parts.append(np.array(own, dtype=np.int64))
+    return np.unique(np.concatenate(parts))
+
+
+def class_slot(name: str) -> int:
+    """The place of `*`, `#CLASS` or `#CLASS ~ #CLASS`."""
+    one, _, two = name.partition(" ~ ")
+    return _slot(_hash(one), _hash(two), kind=_CLASS_PAIR) if two else _slot(_hash(one))
 
 
 class Ftrl:
@@ -226,13 +295,13 @@ def fit(labelled: Iterable[tuple[str | None, float]], epochs: int = 3, seed: int
     negatives = len(docs) - positives
     rate = max(positives, 1) / max(negatives, 1)
     words = Words.of({w: n / (1 + outside[w] * rate) for w, n in inside.items() if w.isalpha() and len(w) > 2})
-    encoded = [([np.array(features(tokens(s, words)), dtype=np.int64) for s in segs], y) for segs, y in docs]
+    encoded = [([features([tokens(s, words)]) for s in segs], y) for segs, y in docs]
     seen = np.zeros(MASK + 1, dtype=np.int32)
     for segs, _ in encoded:
         seen[np.unique(np.concatenate(segs))] += 1
     prior = np.zeros(MASK + 1)
     for k, v in PRIOR.items():
-        prior[zlib.crc32(k.encode()) & MASK] = v
+        prior[class_slot(k)] = v
     usual = (seen >= LEAST_DOCUMENTS) | (prior != 0)
     encoded = [([s[usual[s]] for s in segs], y) for segs, y in encoded]
     rng = np.random.default_rng(seed)
@@ -272,7 +341,10 @@ def fit(labelled: Iterable[tuple[str | None, float]], epochs: int = 3, seed: int
 
 def score_segments(segs: list[str], dense: np.ndarray, words: Words) -> float:
     """The greatest log-odds of a segment."""
-    return max((float(dense[np.array(features(tokens(s, words)))].sum()) for s in segs), default=-math.inf)
+    if not segs:
+        return -math.inf
+    keys = features([tokens(s, words) for s in segs])
+    return float(np.bincount(keys >> BITS, dense[keys & MASK], len(segs)).max())
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, row: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
