@@ -1,11 +1,11 @@
 """The N best items of every group by merging sorted runs.
 
 Each input partition is sorted by group and order in the JVM (which spills) and
-becomes one run per bucket of groups; while it is written, everything after the
-N-th distinct item of a group is skipped, as nothing after it can be among the N
-best. Runs are stored by bucket in the shared folder. A task then merges the runs
-of a bucket with a loser tree, emits the first N items of a group and seeks every
-run to the next group. Where there are more runs than FAN_IN, they are merged in
+becomes a run; while it is written, everything after the N-th distinct item of a
+group is skipped, as nothing after it can be among the N best. Runs are stored in
+the shared folder and read by bucket of groups. A task merges the runs of a bucket
+with a loser tree, emits the first N items of a group and seeks every run to the
+next group. Where there are more runs than FAN_IN, they are merged in
 rounds, so a task never holds more than FAN_IN runs of a bucket, however many
 partitions or items a group has: after the first pass a group has at most N items
 in a run.
@@ -30,8 +30,8 @@ from tallyforge.session import stored
 
 #: Runs of a bucket that one task merges.
 FAN_IN = 64
-#: Groups are spread over so many buckets; more for more groups.
-BUCKETS = 48
+#: Rows of a bucket, about: there are as many buckets of groups as the runs need.
+BUCKET_ROWS = 200_000
 
 
 class LoserTree:
@@ -150,7 +150,7 @@ def _first_n(batches: Iterator, n: int, cols: dict[str, int]) -> Iterator:
             yield b.take(pa.array(keep, pa.int64()))
 
 
-def top_n(df: DataFrame, group: str, score: str, n: int, item: str, row: str, fan_in: int = FAN_IN, buckets: int = BUCKETS) -> DataFrame:
+def top_n(df: DataFrame, group: str, score: str, n: int, item: str, row: str, fan_in: int = FAN_IN, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(group, place, row): places 1 to n of each group by score descending, item
     ascending, row ascending; `row` is a unique number."""
     import pyarrow as pa
@@ -160,17 +160,16 @@ def top_n(df: DataFrame, group: str, score: str, n: int, item: str, row: str, fa
     g = F.upper(F.trim(F.col(group).cast("string")))
     rows = df.select(g.alias("g"), F.col(score).cast("double").alias("score"), F.col(item).cast("string").alias("item"), F.col(row).cast("long").alias("row"))
     rows = rows.filter((F.col("g") != "") & F.col("score").isNotNull() & ~F.isnan("score"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("g"), F.lit(buckets)).cast("int")).withColumn("run", F.spark_partition_id())
-    rows = rows.select("bucket", "run", "g", "score", "item", "row")
+    rows = rows.select(F.spark_partition_id().alias("run"), "g", "score", "item", "row")
     cols = {c: i for i, c in enumerate(rows.columns)}
-    order = ["bucket", "g", F.col("score").desc(), F.col("item").asc_nulls_first(), "row"]
+    order = ["g", F.col("score").desc(), F.col("item").asc_nulls_first(), "row"]
     runs = rows.sortWithinPartitions(*order).mapInArrow(lambda it: _first_n(it, n, cols), rows.schema)
     runs = stored(runs, "sorted-runs")
 
     merged_schema = T.StructType([*rows.schema.fields, T.StructField("place", T.LongType())])
 
     def merge(table: pa.Table) -> pa.Table:
-        bucket, turn = table.column("bucket")[0].as_py(), table.column("turn")[0].as_py()
+        turn = table.column("turn")[0].as_py()
         by_run: dict[int, list[tuple]] = {}
         for r, gr, sc, it, ro in zip(*[table.column(c).to_pylist() for c in ("run", "g", "score", "item", "row")]):
             by_run.setdefault(r, []).append((gr, _order(sc, (it, ro)), it, (sc, ro)))
@@ -180,13 +179,14 @@ def top_n(df: DataFrame, group: str, score: str, n: int, item: str, row: str, fa
         place, last = 0, None
         for gr, _, it, (sc, ro) in merge_runs([by_run[k] for k in sorted(by_run)], n):
             place, last = (place + 1 if gr == last else 1), gr
-            out.append((bucket, turn, gr, sc, it, ro, place))
+            out.append((turn, gr, sc, it, ro, place))
         return pa.table([list(c) for c in zip(*out)], schema=arrow)
 
-    arrow = pa.schema([("bucket", pa.int32()), ("run", pa.int32()), ("g", pa.string()), ("score", pa.float64()), ("item", pa.string()), ("row", pa.int64()), ("place", pa.int64())])
+    arrow = pa.schema([("run", pa.int32()), ("g", pa.string()), ("score", pa.float64()), ("item", pa.string()), ("row", pa.int64()), ("place", pa.int64())])
     while True:
-        most = runs.agg(F.max("run")).first()[0]
-        groups = runs.withColumn("turn", F.floor(F.col("run") / fan_in).cast("int"))
+        most, count = runs.agg(F.max("run"), F.count(F.lit(1))).first()
+        buckets = max(1, -(-count // bucket_rows), min(runs.sparkSession.sparkContext.defaultParallelism, count // 1000))
+        groups = runs.withColumn("turn", F.floor(F.col("run") / fan_in).cast("int")).withColumn("bucket", F.pmod(F.xxhash64("g"), F.lit(buckets)))
         merged = groups.groupBy("bucket", "turn").applyInArrow(merge, merged_schema)
         if (most or 0) < fan_in:
             return merged.select(F.col("g").alias(group), "place", F.col("row").alias(row))

@@ -39,7 +39,7 @@ def make(count, seed):
 def test_equals_brute_force(spark, count, n, fan_in, parts):
     rows = make(count, count + n)
     df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
-    got = topn.top_n(df, "committee_code", "total_amount", n, "entity_name_normalized", "donor_row_id", fan_in=fan_in, buckets=3)
+    got = topn.top_n(df, "committee_code", "total_amount", n, "entity_name_normalized", "donor_row_id", fan_in=fan_in, bucket_rows=50)
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, n)
 
 
