@@ -94,12 +94,31 @@ def _word(token: str, words: Words) -> str:
     plain = "".join(c for c in unicodedata.normalize("NFKD", token) if not unicodedata.combining(c))
     if ("*" in plain or "#" in plain) and any(c.isalpha() for c in plain):
         plain = words.unmask(plain)
+    if len(plain) > 6 and plain.isalpha() and plain not in _CLASS:
+        plain = _run_together(plain) or plain
     if _STRETCHED.search(plain):
         double, single = _STRETCHED.sub(r"\1\1", plain), _STRETCHED.sub(r"\1", plain)
         plain = double if double in _CLASS or _singular(double) in _CLASS else single
     return plain
 
 
+#: Small words that spaces are left out around.
+_SMALL = {"a", "an", "the", "you", "of", "what", "such", "like", "my", "your", "as"}
+
+
+def _run_together(word: str) -> str | None:
+    """The last class's word of one that is wholly words of classes and small words
+    without their spaces, as in `afilthymoron`."""
+    ends: dict[int, str | None] = {0: None}
+    for to in range(1, len(word) + 1):
+        for since in range(max(0, to - 12), to):
+            part = word[since:to]
+            if since in ends and (part in _SMALL or len(part) > 3 and _CLASS.get(part) in ("PROFANE", "INSULT", "SEXUAL")):
+                ends[to] = part if part not in _SMALL else ends[since]
+                break
+    return ends.get(len(word))
+
+
 def _singular(word: str) -> str:
     return word[:-1] if word.endswith("s") and len(word) > 3 else word
 
@@ -277,12 +296,14 @@ PRIOR = {
 }
 #: Labelled documents that a feature must occur in to count.
 LEAST_DOCUMENTS = 3
+#: A positive segment weighs as the square root of clean ones to each, by this.
+BALANCE = 3.0
 #: Log-odds of a document's worst segment from which a clean label, and below
 #: which (turn by turn) a positive one, is taken for a reader's error.
 DOUBT, ERROR = 3.0, (-math.inf, -2.5, -1.0)
 
 
-def fit(labelled: Iterable[tuple[str | None, float]], epochs: int = 3, seed: int = 7, **params: float) -> Model:
+def fit(labelled: Iterable[tuple[str | None, float]], epochs: int = 2, seed: int = 7, **params: float) -> Model:
     """A model from (text, share of labels that are 1) of documents."""
     docs = [(segments(t), share) for t, share in labelled if share != 0.5]
     docs = [(s, int(share > 0.5)) for s, share in docs if s]
@@ -310,7 +331,7 @@ def fit(labelled: Iterable[tuple[str | None, float]], epochs: int = 3, seed: int
         """Weights fitted on segments that are all of their document's label."""
         examples = [(x, y) for segs, y in chosen for x in segs]
         ones = sum(y for _, y in examples)
-        balance = max(1.0, math.sqrt((len(examples) - ones) / ones) / 2) if ones else 1.0
+        balance = max(1.0, math.sqrt((len(examples) - ones) / ones) / BALANCE) if ones else 1.0
         model = Ftrl(**params)
         model.start(prior)
         for _ in range(epochs):

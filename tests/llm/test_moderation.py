@@ -41,6 +41,7 @@ def test_disguises():
     assert M.tokens("they are t*****s", words)[-1] == "thieves"
     assert M.tokens("report #123 of Anna Smith", words) == ["report", "0", "of", "Name", "Name"]
     assert M.tokens("assss", words) == ["ass"]
+    assert M.tokens("the afilthymoron and a closer alligator", words) == ["the", "moron", "and", "a", "closer", "alligator"]
 
 
 def test_no_labels_and_odd_texts():
