@@ -198,3 +198,42 @@ def latest_balances(reports: DataFrame, as_of: Column | None = None, ties: Seque
     df = reports.filter("ending_balance IS NOT NULL").withColumn("report_day", parse_date(F.col("report_date")))
     df = keep_latest(df, ["committee_code"], [F.col("report_day").desc_nulls_last(), *[F.col(t) for t in ties]])
     return df.withColumn("is_stale", F.col("report_day") < F.date_sub(as_of if as_of is not None else F.current_date(), 90))
+
+
+def local_disbursements(reports: DataFrame, places: DataFrame | None = None, districts: Sequence[str] = (), offices: Sequence[str] = (), office_likes: Sequence[str] = (), cycle_likes: Sequence[str] = (), ties: Sequence[str] = ("row_id",)) -> DataFrame:
+    """The latest report of each candidate and race, of the races asked for, with
+    its county if `places` (place, county, ordinal) is given.
+
+    districts: parts of a district's name, any of which may be in it. offices: whole
+    names. office_likes and cycle_likes: LIKE patterns, any of which may fit; a race
+    without a cycle passes the last."""
+    from tallyforge.operators.matching import contains_lookup
+
+    df = reports.filter(F.col("total_disbursements").isNotNull())
+    if districts:
+        df = df.filter(F.exists(F.array(*[F.lit(x) for x in districts]), lambda x: F.lower("district").contains(F.lower(x))))
+    if offices:
+        df = df.filter(F.array_contains(F.array(*[F.lit(o.lower()) for o in offices]), F.lower("office_sought")))
+    for column, likes, none in (("office_sought", office_likes, False), ("election_cycle", cycle_likes, True)):
+        if likes:
+            hit = F.lit(False)
+            for pattern in likes:
+                hit = hit | F.coalesce(F.lower(column).like(pattern.lower()), F.lit(False))
+            df = df.filter(hit | F.col(column).isNull() if none else hit)
+    df = keep_latest(df, ["candidate_name", "district", "office_sought", "election_cycle"], [parse_date(F.col("report_date")).desc_nulls_last(), *[F.col(t) for t in ties]])
+    if places is None:
+        return df
+    df = contains_lookup(df, places, "district", "place", "ordinal", "county", ties[0])
+    return df
+
+
+def county_totals(rows: DataFrame) -> DataFrame:
+    """Races, candidates and spending of each county; races without one together."""
+    return rows.groupBy("county").agg(F.count_distinct("office_sought", "district").alias("races"), F.count_distinct("candidate_name").alias("candidates"), F.sum("total_disbursements").alias("total_disbursements"))
+
+
+def race_totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Greatest, mean and summed spending and the number of rows of each race; races
+    with a null key are left out."""
+    df = rows.dropna(subset=list(keys))
+    return df.groupBy(*keys).agg(F.max("total_disbursements").alias("max_disbursements"), F.avg("total_disbursements").alias("avg_disbursements"), F.sum("total_disbursements").alias("total_disbursements"), F.count(F.lit(1)).alias("reports"))

@@ -208,6 +208,24 @@ def local_election_costs(spark: SparkSession, d: str) -> DataFrame:
     return gold.local_election_costs(gold.fact_report_summary(_balances(spark, d)), ["row_id"])
 
 
+@query()
+def local_disbursements(spark: SparkSession, d: str) -> DataFrame:
+    """Latest reports of local races whose office fits, by pattern and cycle."""
+    df = gold.local_disbursements(_balances(spark, d), office_likes=["%board%", "mayor", "%sheriff%"], cycle_likes=["%/2018%", "%/2019%", "%/202_%"])
+    return df.select("row_id", "candidate_name", "office_sought", "district", "election_cycle", "total_disbursements")
+
+
+@query()
+def county_totals(spark: SparkSession, d: str) -> DataFrame:
+    places = spark.createDataFrame([("1", "first", 1), ("at large", "whole", 2), ("2", "second", 3)], "place string, county string, ordinal int")
+    return rounded(gold.county_totals(gold.local_disbursements(_balances(spark, d), places)), "total_disbursements")
+
+
+@query()
+def race_totals(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(gold.race_totals(_balances(spark, d), ["office_sought", "district"]), "avg_disbursements", "total_disbursements")
+
+
 @query()
 def latest_balances(spark: SparkSession, d: str) -> DataFrame:
     df = gold.latest_balances(_balances(spark, d), F.lit("2025-12-31").cast("date"))

@@ -143,3 +143,19 @@ def test_regression_report(spark):
     df = spark.createDataFrame([("Acme Inc", "ACME INC"), ("Bob", "BOB"), ("Bob", "BOB"), (None, None)], "raw string, cur string")
     out = {r.name_variation: r.changed for r in surface.regression(df, "raw", "cur", lambda c: F.regexp_replace(F.upper(c), " INC$", "")).collect()}
     assert out == {"Acme Inc": True, "Bob": False}
+
+
+def test_local_disbursements(spark):
+    rows = [
+        (1, "Ann", "Ward 1 Larkmoor", "Mayor", "11/2019", "1/1/2019", 5.0), (2, "Ann", "Ward 1 Larkmoor", "Mayor", "11/2019", "1/2/2019", 6.0), (3, "Bob", "Vantry", "Sheriff", None, "junk", 7.0),
+        (4, "Cy", "Vantry", "Member County Board", "11/2010", "1/1/2010", 8.0), (5, "Di", None, "Mayor", "11/2020", None, 9.0), (6, "Ed", "Vantry", "Mayor", "11/2020", None, None),
+    ]
+    df = spark.createDataFrame(rows, "row_id int, candidate_name string, district string, office_sought string, election_cycle string, report_date string, total_disbursements double")
+    ids = lambda **kw: {r.row_id for r in gold.local_disbursements(df, **kw).collect()}
+    assert ids() == {2, 3, 4, 5}
+    assert ids(districts=["LARK", "zz"]) == {2} and ids(offices=["mayor"]) == {2, 5} and ids(office_likes=["%board%"]) == {4}
+    assert ids(cycle_likes=["%/2019%", "%/202_%"]) == {2, 3, 5}
+    places = spark.createDataFrame([("larkmoor", "East", 1), ("Vantry", "West", 2)], "place string, county string, ordinal int")
+    got = {r.county: (r.races, r.total_disbursements) for r in gold.county_totals(gold.local_disbursements(df, places)).collect()}
+    assert got == {"East": (1, 6.0), "West": (2, 15.0), None: (0, 9.0)}
+    assert {r.district: r.reports for r in gold.race_totals(df.filter("office_sought = 'Mayor'"), ["office_sought", "district"]).collect()} == {"Ward 1 Larkmoor": 2, "Vantry": 1}
