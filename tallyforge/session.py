@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +53,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once an application, so
+    that they need no copy of it on their path."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallyforge-code-"), "tallyforge.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("tallyforge", os.path.relpath(path, root)))
+    spark.sparkContext.addPyFile(archive)  # Spark copies it from the driver to each executor
+    _shipped.add(app)
