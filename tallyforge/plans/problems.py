@@ -24,12 +24,21 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b)
 
 
-def p3_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conforming ScheduleA records as typed columns."""
-    (_, df, spec), _ = _raw(spark, sf_dir)
+def _loaded(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    df, spec = next((df, spec) for t, df, spec in _raw(spark, sf_dir) if t == table)
     return rejects.strict_load(df, spec, keep=("folder_name",)).drop("__record")
 
 
+def p3_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conforming ScheduleA records, each field a column of text as written."""
+    return _loaded(spark, sf_dir, "schedulea")
+
+
+def p3_loaded_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conforming Report records, each field a column of text as written."""
+    return _loaded(spark, sf_dir, "report")
+
+
 def p3_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = (rejects.load_audit(df, spec).select(F.lit(t).alias("source_table"), "reason", "records") for t, df, spec in _raw(spark, sf_dir))
     return a.unionByName(b)
@@ -86,5 +95,5 @@ UNION ALL SELECT t, folder, field, 'renamed' FROM pairs WHERE key1 <> key0
 UNION ALL SELECT t, folder, field, 'retyped' FROM pairs WHERE key1 IS NOT NULL AND key0 IS NOT NULL AND kind1 <> kind0
 """
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_loaded": p3_loaded, "p3_audit": p3_audit, "p5_found": p5_found, "p5_unified": p5_unified}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_loaded": p3_loaded, "p3_loaded_report": p3_loaded_report, "p3_audit": p3_audit, "p5_found": p5_found, "p5_unified": p5_unified}
 ORACLE: dict[str, str] = {"p3_found": P3_SQL, "p5_found": P5_SQL}

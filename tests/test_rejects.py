@@ -80,3 +80,16 @@ def test_split_agrees_with_a_csv_reader(spark, lines):
         assert r["ok"] == bool(GRAMMAR.match(line))
         if r["ok"] and line:
             assert r["f"] == next(csv.reader(io.StringIO(line, newline="")))
+
+
+def test_both_tables_are_loaded_whole(spark, tmp_path):
+    from tallyforge.plans import problems
+
+    for table, columns in (("schedulea", R.SCHEDULE_A), ("report", R.REPORT)):
+        good = ",".join("5" if c == "Amount" else "Ann" if c == "CandidateName" else c for c in columns)
+        rows = [(1, good, "2020"), (2, good.replace("Ann", "12").replace(",5,", ",five,"), "2020"), (3, "", None)]
+        spark.createDataFrame(rows, "line_id long, raw_line string, folder_name string").write.parquet(f"{tmp_path}/{table}.parquet")
+    for query, columns, field, value in (("p3_loaded", R.SCHEDULE_A, "Amount", "5"), ("p3_loaded_report", R.REPORT, "CandidateName", "Ann")):
+        loaded = problems.QUERIES[query](spark, str(tmp_path))
+        assert loaded.columns == ["line_id", "folder_name", *columns]
+        assert [(r.line_id, r[field]) for r in loaded.collect()] == [(1, value)]
