@@ -114,13 +114,14 @@ def random_levels(forms: DataFrame) -> dict[str, dict[int, float]]:
     def levels(name: str, near: dict[int, float], top: int) -> dict[int, float]:
         have, same = rates[name]
         out = {top: have**2 * same} | {k: have**2 * same * v for k, v in near.items()} | {MISSING: 1 - have**2}
-        return {k: min(v, 1.0) for k, v in out.items()}
+        out[0] = have**2 - sum(v for k, v in out.items() if k != MISSING)
+        return {k: min(max(v, 0.0), 1.0) for k, v in out.items()}
 
     street = levels("street", NEIGHBOURS, 3)
-    street[0] = max(1 - sum(v for k, v in street.items()), 0.5)
+    street[0] = max(1 - sum(v for k, v in street.items() if k != 0), 0.5)
     del street[MISSING]
     have, same = rates["dir"]
-    direction = {1: have**2 * same + (1 - have) ** 2, MISSING: 2 * have * (1 - have)}
+    direction = {1: have**2 * same + (1 - have) ** 2, MISSING: 2 * have * (1 - have), 0: have**2 * (1 - same)}
     return {"street_l": street, "type_l": levels("type", {}, 1), "dir_l": direction, "city_l": levels("city", {1: 0.5}, 2), "zip_l": levels("zip", {}, 1)}
 
 
@@ -187,10 +188,11 @@ THRESHOLD = 0.0
 
 def form_roots(forms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(node, root) of forms that are not their own location's first form."""
-    possible = candidate_pairs(forms).filter("type_l <> 0 AND dir_l <> 0 AND city_l <> 0 AND zip_l <> 0")
-    pairs = stored(possible, "address-pairs")
+    pairs = stored(candidate_pairs(forms), "address-pairs")
     weights, share = learn(pairs, random_levels(forms))
-    linked = pairs.withColumn("weight", score(weights) + F.lit(math.log2(share / (1 - share)))).filter((F.col("weight") >= threshold) & (F.col("street_l") > 0))
+    # What contradicts counts in the estimate, but never links.
+    possible = pairs.filter("street_l > 0 AND type_l <> 0 AND dir_l <> 0 AND city_l <> 0 AND zip_l <> 0")
+    linked = possible.withColumn("weight", score(weights) + F.lit(math.log2(share / (1 - share)))).filter(F.col("weight") >= threshold)
     rank = lambda side: F.struct(F.col(f"full_{side}").alias("full"), F.col(f"n_{side}").alias("n"), F.col(f"form_{side}").alias("form"))
     up = linked.select("weight", F.least(rank("a"), rank("b")).alias("low"), F.greatest(rank("a"), rank("b")).alias("high"))
     best = up.groupBy(F.col("low.form").alias("node")).agg(F.max(F.struct("weight", "high")).alias("best"))

@@ -89,3 +89,21 @@ def test_em_finds_the_two_classes():
     weights, share = linkage.em_weights(patterns, random)
     assert all(w[1] > 3 and w[0] < 0 for w in weights) and 0.15 < share < 0.4
     assert linkage.em_weights({}, random)[1] == 0.3
+
+
+def test_contradicting_pairs_count_in_the_estimate_but_never_link(spark, monkeypatch):
+    from tallyforge.llm import addresses
+
+    seen = []
+
+    def learn(pairs, random):
+        seen.extend(r.asDict() for r in pairs.collect())
+        assert all(0 in levels for levels in random.values())
+        return learnt(pairs, random)
+
+    learnt = addresses.learn
+    monkeypatch.setattr(addresses, "learn", learn)
+    rows = [(1, "12 Quillrun St", "Eddering", "22001"), (2, "12 Quillrun Rd", "Eddering", "22001"), (3, "12 Quillrun Street", "Eddering", "22001"), (4, "12 Quillrun St", "Zephyr Mills", "23443")]
+    df = spark.createDataFrame(rows, "id long, entity_address string, entity_city string, entity_zip string")
+    assert [tuple(r) for r in addresses.same_location(df).collect()] == [(1, 3)]
+    assert any(r["type_l"] == 0 for r in seen) and any(r["city_l"] == 0 and r["zip_l"] == 0 for r in seen)
