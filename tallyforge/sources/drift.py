@@ -134,22 +134,31 @@ def flood(keys: dict[str, str], fields: Iterable[Canonical], parents: dict[str,
     return {(a[2:], b[2:]): v for (a, b), v in now.items() if a[0] == "n" and b[0] == "n"}
 
 
+def select(keys: set[str], scores: dict[tuple[str, str], float], exact: dict[str, str], fields: Iterable[Canonical]) -> dict[str, str]:
+    """key -> field: `exact` first, then pairs by falling score, taken while both
+    sides are free and the score is at least LEAST of the best."""
+    out: dict[str, str] = {}
+    ranked = sorted(((exact.get(k) == f.name, scores[k, f.name], k, f.name) for k in keys for f in fields), key=lambda x: (-x[0], -x[1], x[2], x[3]))
+    for given, score, k, f in ranked:
+        if k not in out and f not in out.values() and (given or score >= LEAST):
+            out[k] = f
+    return out
+
+
 def correspond(folders: dict[str, set[str]], kinds: dict[str, str], fields: Iterable[Canonical]) -> dict[tuple[str, str], str]:
-    """(folder, key) -> field: in each folder the pairs by falling score, taken
-    while both sides are free and the score is at least LEAST of the best."""
+    """(folder, key) -> field: in each folder as flooded scores select. Exact
+    phrases are the check afterwards: only a folder in which a key's own phrase
+    names another field is selected anew with these keys first."""
     fields = list(fields)
     scores = flood(kinds, fields)
     named = {k: max((_name_score(k, p), f.name) for f in fields for p in (f.name, *f.phrases)) for k in kinds}
+    exact = {k: f for k, (score, f) in named.items() if score == 1.0}
     out: dict[tuple[str, str], str] = {}
     for folder, keys in folders.items():
-        free_keys, free_fields = set(keys), {f.name for f in fields}
-        # An exact phrase stands for its field before flooded scores decide the rest.
-        ranked = sorted(((named[k] == (1.0, f), scores[k, f], k, f) for k in free_keys for f in free_fields), key=lambda x: (-x[0], -x[1], x[2], x[3]))
-        for _, score, k, f in ranked:
-            if k in free_keys and f in free_fields and (score >= LEAST or named[k] == (1.0, f)):
-                out[folder, k] = f
-                free_keys.discard(k)
-                free_fields.discard(f)
+        chosen = select(keys, scores, {}, fields)
+        if any(chosen.get(k) != exact[k] for k in keys & exact.keys()):
+            chosen = select(keys, scores, exact, fields)
+        out.update({(folder, k): f for k, f in chosen.items()})
     return out
 
 

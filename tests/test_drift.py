@@ -61,3 +61,18 @@ def test_unified_casts_and_keeps_every_row(spark):
     got = {r.row_id: r for r in drift.unified(df, drift.SCHEDULE_H).collect()}
     assert len(got) == 3 and got[0].report_id == 1 and got[0].starting_balance == -1200.5 and got[0].amendment_count is None
     assert got[1].report_id == 2 and got[1].starting_balance == 7.0 and got[2].report_id is None
+
+
+def test_flooded_scores_select_and_exact_phrases_only_check(monkeypatch):
+    keys = {"StartingBalance", "ending balance", "DUE-DATE", "BeginnningBalance"}
+    fields = [f for f in drift.SCHEDULE_H if f.name in ("starting_balance", "ending_balance", "due_date")]
+    given = []
+    select = drift.select
+    monkeypatch.setattr(drift, "select", lambda k, s, e, f: given.append(dict(e)) or select(k, s, e, f))
+    kinds = dict.fromkeys(keys, "string")
+    want = {"StartingBalance": "starting_balance", "ending balance": "ending_balance", "DUE-DATE": "due_date"}
+    assert drift.correspond({"2020": keys}, kinds, fields) == {("2020", k): f for k, f in want.items()}
+    assert given == [{}]
+    # Scores that put a key beside its phrase are caught.
+    monkeypatch.setattr(drift, "flood", lambda kinds, fields: {(k, f.name): float(want.get(k) != f.name) for k in kinds for f in fields})
+    assert drift.correspond({"2020": set(want)}, kinds, fields) == {("2020", k): f for k, f in want.items()}
