@@ -2,32 +2,34 @@
 
 A logistic regression over hashed word n-grams and skip-grams, trained by
 FTRL-proximal: each coordinate has its own rate, and L1 leaves few weights, which
-are sent to the executors as two small arrays. The unit is a segment (a sentence
-or line); a document scores as its worst segment. Labels are of documents, so
-training alternates: it fits segments, then takes of each positive document only
-the segments that look worst, and fits again.
-
-Disguises are undone before features are taken: zero-width characters, look-alike
-letters of other scripts, digits and signs for letters, letters set apart by dots
-or spaces, stretched letters, and letters hidden behind `*` or `#`, which are
-resolved to a word of the same shape. Words of `LEXICON` also stand for their
-class, so that phrases with another word of the class are known too.
+are broadcast as two small arrays. The unit is a segment (a sentence or line); a
+document scores as its worst segment. Labels are of documents, so training
+alternates: it fits segments, then takes of each positive document only the
+segments that look worst, and fits again.
+
+Nothing but the labels says what is abusive: there is no list of words. Disguises
+are undone towards words the labelled documents contain: zero-width characters,
+look-alike letters of other scripts, digits and signs for letters, letters set
+apart by dots or spaces, stretched letters, words run together, and letters hidden
+behind `*` or `#`, which are resolved to the word of that shape that is most
+telling of the positive documents.
 
 Readers err: a document counts as positive by the share of its labels that are 1,
 null labels do not count, and evenly split documents are left out. Null, empty and
 space-only texts score 0. At most `SAMPLE` labelled documents are used to fit, taken
-by a hash of the id; all documents are scored, whole. Without any label of a kind
-the weights are those of the lexicon classes alone.
+by a hash of the id; all documents are scored, whole. Without labels of both kinds
+nothing is known and every document scores 0.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import unicodedata
 import zlib
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,336 +38,403 @@ from pyspark.sql import functions as F
 
 #: Labelled documents a model is fitted on at most: the bound of what is collected.
 SAMPLE = 20_000
-BITS = 18
+BITS = 20
 MASK = (1 << BITS) - 1
 
-#: Words of classes of abusive language, English and Spanish.
-LEXICON = {
-    "PROFANE": "fuck fucking fucked fucker motherfucker shit shitty bullshit ass asshole arsehole bastard bitch cunt dickhead prick wanker twat goddamn hell puta mierda cabron pendejo joder cono",
-    "INSULT": "idiot moron imbecile stupid dumb dumbass dipshit scumbag scum loser coward parasite pig braindead worthless pathetic useless ugly filthy disgusting cretin retard imbecil idiota asqueroso",
-    "SEXUAL": "sex sexy nude nudes naked nipples horny porn xxx tits boobs cock pussy moaned groaned thrust orgasm undid undressed stripped skirt trousers slut whore nasty desnuda follar verga",
-    "HARM": "kill murder shoot hang burn drown die dead choke strangle stab lynch rape slap beat ambulance torches sink rope mueras echen",
-    "DEHUMAN": "vermin rats cockroaches infection lesser subhuman animals dogs breed thieves chains inferior sterilise sterilize exterminate plague ratas",
-    "TARGET": "immigrants foreigners refugees women gays cripples newcomers extranjeros jews muslims lesbians faith temple migrants",
-    "YOU": "you your yourself eres",
-}
-_CLASS = {w: c for c, ws in LEXICON.items() for w in ws.split()}
 #: Letters of other scripts that look like Latin ones, and signs for letters.
 _LIKE, _LATIN = "аеорсухіѕԁкмтнвјҺοαειρτυκν", "aeopcyxisdkmthbjhoaeiptukv"
 _LOOKALIKES = str.maketrans({**dict(zip(_LIKE.upper(), _LATIN.upper())), **dict(zip(_LIKE, _LATIN))})
 _LEET = str.maketrans("013457@$!|8", "oieastasilb")
-_HIDDEN = re.compile("[​-‏‪-‮⁠﻿­]")
-_APART = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-_*]){2,}[^\W\d_](?![^\W_])")
+_HIDDEN = re.compile("[​-‏‪-‮⁠-⁤﻿­]")
 _STRETCHED = re.compile(r"(.)\1{2,}")
-_SPLIT = re.compile(r"(?<=[.!?;])\s+|[\r\n]+|\s{2,}")
-_TOKEN = re.compile(r"[^\W_](?:[\w@$!|*#'’]*[\w*#])?|[!?]")
+#: Letters set apart: by spaces, and by other signs.
+_SPACED = re.compile(r" [^\W\d_](?: [^\W\d_]){2,}(?=[ ,.!?;:])")
+_APART = re.compile(r"(?<![^\W_])(?:[^\W\d_][.\-_*]){2,}[^\W\d_](?![^\W_])")
+#: The words and numbers of a text without white space, and its exclamation and question marks.
+_PART = re.compile(r"[@$]?[^\W\d_](?:[\w@$!|*#'’]*[\w*#])?|\d+(?:[.,:/-]\d+)*(?![^\W\d_])|\d[\w@$!|*#'’]*[\w*#]|[!?](?!$)")
 
+WORD, SEGMENT, DOCUMENT = 0, 1, 2
+NUMBER, NAME = "0", "Name"
+
+
+_ODD = re.compile(f"[{_LIKE}{_LIKE.upper()}]")
+
+
+def clean(text: str | None) -> str:
+    """A text without hidden characters and look-alikes, its line ends standing apart."""
+    if not text:
+        return ""
+    if not text.isascii():
+        text = _HIDDEN.sub("", unicodedata.normalize("NFKC", text))
+        if _ODD.search(text):
+            text = text.translate(_LOOKALIKES)
+    return text
 
-@dataclass
-class Words:
-    """Words that masked ones may stand for, by length, with how telling they are."""
 
-    by_length: dict[int, list[tuple[float, str]]] = field(default_factory=dict)
-    plain: dict[str, str] = field(default_factory=dict, repr=False)
+@dataclass
+class Vocabulary:
+    """What the labelled documents' words are used for: `telling` words with how much
+    more often they occur in positive documents, and `known` ones, seen in lower case."""
 
-    def __getstate__(self) -> dict:
-        return {"by_length": self.by_length, "plain": {}}
+    telling: dict[str, float] = field(default_factory=dict)
+    known: frozenset[str] = frozenset()
+    by_length: dict[int, list[str]] = field(default_factory=dict)
 
     @classmethod
-    def of(cls, weight: dict[str, float]) -> Words:
-        out: dict[int, list[tuple[float, str]]] = defaultdict(list)
-        for w, v in {**{w: 0.0 for c, ws in LEXICON.items() if c != "TARGET" for w in ws.split()}, **weight}.items():
-            out[len(w)].append((v if w not in _CLASS else 1e6 + v, w))
-        return cls({n: sorted(ws, key=lambda x: (-x[0], x[1])) for n, ws in out.items()})
+    def of(cls, inside: dict[str, int], outside: dict[str, int], lower: Iterable[str], rate: float) -> Vocabulary:
+        """inside, outside: positive and other documents a word is in; rate: positive
+        documents for each other one."""
+        share = {w: n / (n + outside.get(w, 0) * rate) for w, n in inside.items() if w.isalpha() and len(w) > 2}
+        telling = {w: v * inside[w] for w, v in share.items() if v >= TELLING and inside[w] >= 2}
+        ranked: dict[int, list[str]] = defaultdict(list)
+        for w in sorted(share, key=lambda w: (-telling.get(w, 0.0), -share[w], w)):
+            ranked[len(w)].append(w)
+        return cls(telling, frozenset(lower) | frozenset(telling), dict(ranked))
 
     def unmask(self, token: str) -> str:
         pattern = re.compile("".join("[a-z]" if c in "*#" else re.escape(c) for c in token))
-        return next((w for _, w in self.by_length.get(len(token), ()) if pattern.fullmatch(w)), token)
-
-
-def _word(token: str, words: Words) -> str:
-    """A token without its disguise."""
-    if token.isdigit():
-        return "0"
-    token = token.replace("’", "'")
-    if any(c in "0134578@$!|" for c in token) and any(c.isalpha() for c in token):
-        undone = token.rstrip("!").translate(_LEET)
-        token = undone if undone in _CLASS or not token.isalpha() else token
-    plain = "".join(c for c in unicodedata.normalize("NFKD", token) if not unicodedata.combining(c))
-    if ("*" in plain or "#" in plain) and any(c.isalpha() for c in plain):
-        plain = words.unmask(plain)
-    if len(plain) > 6 and plain.isalpha() and plain not in _CLASS:
-        plain = _run_together(plain) or plain
+        return next((w for w in self.by_length.get(len(token), ()) if pattern.fullmatch(w)), token)
+
+    def run_together(self, word: str) -> list[str] | None:
+        """Known words, one of them telling, that a word consists of without their
+        spaces, as in `afilthymoron`; the fewest, with the longest telling ones."""
+        best: dict[int, tuple[int, int, list[str]]] = {0: (0, 0, [])}
+        for to in range(1, len(word) + 1):
+            for since in range(max(0, to - 14), to):
+                part = word[since:to]
+                if since not in best or part not in self.known or len(part) == 1 and part not in "ai":
+                    continue
+                n, told, parts = best[since]
+                now = (n - 1, told + len(part) ** 2 * (part in self.telling and len(part) > 3), [*parts, part])
+                if to not in best or (now[1], now[0]) > (best[to][1], best[to][0]):
+                    best[to] = now
+        found = best.get(len(word))
+        return found[2] if found and found[1] and len(found[2]) > 1 else None
+
+
+#: Share of a word's documents, positive and others weighed alike, that must be
+#: positive for it to be telling.
+TELLING = 0.75
+
+
+def undisguised(token: str, words: Vocabulary) -> list[str]:
+    """The words of a token in lower case."""
+    if not any(map(str.isalpha, token)):
+        return [NUMBER] if token not in "!?" else [token]
+    low = token.lower().replace("’", "'")
+    if low in words.known or low.isalpha() and low.isascii() and len(low) < 7 and not _STRETCHED.search(low):
+        return [low]
+    plain = "".join(c for c in unicodedata.normalize("NFKD", low) if not unicodedata.combining(c)) if not low.isascii() else low
+    if not plain.isalpha():
+        bare = plain.rstrip("!")
+        for undone in (bare.translate(_LEET), bare.replace("1", "l").translate(_LEET)):
+            if undone in words.known:
+                return [undone]
+        if "*" in plain or "#" in plain:
+            plain = words.unmask(bare.translate(_LEET))
+        elif any(c in "@$!|" for c in bare[1:]):
+            plain = words.unmask(re.sub(r"[@$!|]", "*", bare))
     if _STRETCHED.search(plain):
         double, single = _STRETCHED.sub(r"\1\1", plain), _STRETCHED.sub(r"\1", plain)
-        plain = double if double in _CLASS or _singular(double) in _CLASS else single
-    return plain
+        plain = double if double in words.known else single
+    if len(plain) > 6 and plain not in words.known and plain.isalpha():
+        return words.run_together(plain) or [plain]
+    return [plain]
+
+
+#: Different tokens whose plain words a worker keeps.
+CACHE = 300_000
+
+
+class Reader:
+    """Texts as arrays of word hashes with their segments. Each different token, as
+    it stands between white space, is taken apart, undisguised and hashed once; all
+    else is array work over many documents. An item is a word or an end: of a
+    segment (`.`, `!`, `?`, `;` before white space, a line end, two spaces) or of a
+    document."""
+
+    def __init__(self, words: Vocabulary) -> None:
+        self.words = words
+        self.clear()
+
+    def clear(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.many: list[int] = []  # items of each token
+        self.items: list[tuple[int, bool, bool, int]] = []  # kind, capitalised, name wherever it stands, hash
+        self.plain: list[str] = []  # the word of each item
+        self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 4), np.int64)
+
+    def _item(self, kind: int, word: str = "", capital: bool = False) -> None:
+        never = capital and bool(self.words.known) and word not in self.words.known
+        self.items.append((kind, capital, never, zlib.crc32(word.encode("utf-8", "replace"))))
+        self.plain.append(word)
+
+    def _learn(self, token: str) -> None:
+        self.codes[token] = len(self.many)
+        before = len(self.items)
+        if token == "\x00":
+            self._item(DOCUMENT)
+        elif token == "" or token == "\n":
+            self._item(SEGMENT)
+        else:
+            for part in _PART.findall(_APART.sub(self._apart, token)):
+                found = undisguised(part, self.words)
+                titled = part[0].isupper() and (part[1:].islower() or len(part) == 1) and part != "I"
+                for w in found:
+                    self._item(WORD, w, titled and w not in self.words.telling)
+            if token[-1] in ".!?;":
+                self._item(SEGMENT)
+        self.many.append(len(self.items) - before)
+
+    def _apart(self, match: re.Match) -> str:
+        text = match.group(0)
+        letters = re.sub(r"[ .\-_*]", "", text).lower()
+        if letters in self.words.known or "*" not in text and " " not in text:
+            return letters
+        # `a m o r o n`: an article before the word set apart. Stars may hide letters, not set them apart.
+        return f"{letters[0]} {letters[1:]}" if letters[1:] in self.words.known else text
+
+    def items_of(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item of each word, its segment, document of each segment)."""
+        if len(self.codes) > CACHE:
+            self.clear()
+        text = " \x00 ".join([clean(t).replace("\x00", "") for t in texts]).replace("\n", " \n ").replace("\r", " \n ").replace("\t", " ")
+        raw = _SPACED.sub(lambda m: " " + self._apart(m).strip(), f" {text} ").split(" ")[1:-1]
+        new = set(raw) - self.codes.keys()
+        if new:
+            for t in sorted(new):
+                self._learn(t)
+            many = np.array(self.many, dtype=np.int64)
+            self.flat = many, np.cumsum(many) - many, np.array(self.items, dtype=np.int64).reshape(-1, 4)
+        many, since, items = self.flat
+        codes = np.fromiter(map(self.codes.__getitem__, raw), np.int64, len(raw))
+        n = many[codes]
+        at = np.repeat(since[codes] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        kind = items[at, 0]
+        document = np.concatenate([[0], np.cumsum(kind[kind != WORD] == DOCUMENT)])
+        segment = np.cumsum(kind != WORD)
+        words = kind == WORD
+        return at[words], segment[words], document
+
+    def read(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash of each word, its segment, document of each segment with words). Capitalised
+        words that do not merely begin a segment, and those never seen in lower case
+        in a labelled document, are all NAME unless they are telling."""
+        at, segment, document = self.items_of(texts)
+        items = self.flat[2][at]
+        capital = items[:, 1] == 1
+        same = segment[1:] == segment[:-1]
+        behind, before = np.append(False, same)[: len(at)], np.append(same & capital[1:], False)[: len(at)]
+        after = np.append(False, capital[:-1] & same)[: len(at)]
+        # A capitalised word between others in lower case, seen in lower case too, starts a sentence.
+        fresh = behind & capital & (items[:, 2] == 0) & ~before & ~after
+        name = (items[:, 2] == 1) | (capital & (behind | before) & ~fresh)
+        start = np.append(True, ~same)[: len(at)] | fresh
+        return np.where(name, _NAME, items[:, 3]), np.cumsum(start) - 1, document[segment[start]]
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])[: len(x)]]
+
+
+_NAME = zlib.crc32(NAME.encode())
+#: Odd multipliers and offsets that tell the kinds of features apart.
+_MIX = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
+#: Kinds of features: which following words are taken together. Words, bigrams,
+#: trigrams, and bigrams that skip one and two words.
+GRAMS = ((0,), (0, 1), (0, 1, 2), (0, 2), (0, 3))
 
 
-#: Small words that spaces are left out around.
-_SMALL = {"a", "an", "the", "you", "of", "what", "such", "like", "my", "your", "as"}
+def slots(h: np.ndarray, segment: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(segment, slot) of all features of a kind, kind by kind."""
+    for kind, gram in enumerate(GRAMS):
+        n = len(h) - gram[-1]
+        if n <= 0:
+            continue
+        x = np.full(n, 0x1000193 * kind, dtype=np.int64)
+        for i, m in zip(gram, _MIX):
+            x += h[i : i + n] * m
+        x = (x ^ (x >> 17) ^ (x >> 31)) & MASK
+        inside = segment[:n] == segment[gram[-1] :]
+        yield segment[:n][inside], x[inside]
 
 
-def _run_together(word: str) -> str | None:
-    """The last class's word of one that is wholly words of classes and small words
-    without their spaces, as in `afilthymoron`."""
-    ends: dict[int, str | None] = {0: None}
-    for to in range(1, len(word) + 1):
-        for since in range(max(0, to - 12), to):
-            part = word[since:to]
-            if since in ends and (part in _SMALL or len(part) > 3 and _CLASS.get(part) in ("PROFANE", "INSULT", "SEXUAL")):
-                ends[to] = part if part not in _SMALL else ends[since]
-                break
-    return ends.get(len(word))
+@dataclass
+class Model:
+    """Sparse weights, the bias, and the words that disguises are undone to."""
 
+    index: np.ndarray
+    weight: np.ndarray
+    bias: float
+    words: Vocabulary
 
-def _singular(word: str) -> str:
-    return word[:-1] if word.endswith("s") and len(word) > 3 else word
 
+#: Characters of texts that are taken together, about.
+CHUNK = 2_000_000
 
-def _joined(match: re.Match) -> str:
-    letters = re.sub(r"[ .\-_*]", "", match.group(0)).lower()
-    if "*" in match.group(0) and letters not in _CLASS:
-        return match.group(0)  # stars that hide letters, not set them apart
-    # `a a s s h o l e`: an article before the word set apart.
-    if " " in match.group(0) and letters[0] in "ai" and letters[1:] in _CLASS:
-        return letters[0] + " " + letters[1:]
-    return letters
 
+class Scorer:
+    """A model ready for use in a worker."""
 
-def segments(text: str | None) -> list[str]:
-    """Sentences and lines of a text, without hidden characters and look-alikes."""
-    if not text:
-        return []
-    text = _HIDDEN.sub("", unicodedata.normalize("NFKC", text)).translate(_LOOKALIKES)
-    text = _APART.sub(_joined, text)
-    return [s for s in _SPLIT.split(text) if s and not s.isspace()]
-
-
-def tokens(segment: str, words: Words) -> list[str]:
-    """Words in lower case, undisguised; capitalised ones that are no class's word
-    and do not merely begin the segment are all `Name`."""
-    raw = _TOKEN.findall(segment)
-    titled = [t[0].isupper() and (t[1:].islower() or len(t) == 1) and t != "I" for t in raw]
-    out = []
-    for i, t in enumerate(raw):
-        low = t.lower()
-        word = words.plain.get(low)
-        if word is None:
-            if len(words.plain) >= CACHE:
-                words.plain.clear()
-            word = words.plain[low] = _word(low, words)
-        if titled[i] and word not in _CLASS and (i or (len(raw) > 1 and titled[1])):
-            word = "Name"
-        out.append(word)
-    return out
-
-
-#: Words whose hash and plain form a worker keeps.
-CACHE = 200_000
-_hashes: dict[str, int] = {}
-
-
-def _hash(word: str) -> int:
-    h = _hashes.get(word)
-    if h is None:
-        if len(_hashes) >= CACHE:
-            _hashes.clear()
-        h = _hashes[word] = zlib.crc32(word.encode("utf-8", "replace"))
-    return h
-
-
-_classes: dict[str, str | None] = {}
-
-
-def _class(word: str) -> str | None:
-    """The class of a word or of its singular."""
-    if word in _classes:
-        return _classes[word]
-    if len(_classes) >= CACHE:
-        _classes.clear()
-    k = _classes[word] = _CLASS.get(word) or _CLASS.get(_singular(word))
-    return k
+    def __init__(self, model: Model) -> None:
+        self.bias, self.reader = model.bias, Reader(model.words)
+        self.dense = np.zeros(MASK + 1, dtype=np.float32)
+        self.dense[model.index] = model.weight
 
+    def _some(self, texts: Sequence[str | None]) -> np.ndarray:
+        h, segment, document = self.reader.read(texts)
+        total = np.zeros(len(document))
+        for at, slot in slots(h, segment):
+            total += np.bincount(at, self.dense[slot], len(document))
+        out = np.full(len(texts), -np.inf)
+        np.maximum.at(out, document, total + self.bias)
+        return out
 
-#: Odd multipliers and offsets that tell the kinds of features apart.
-_MIX = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
-_BIGRAM, _TRIGRAM, _SKIP1, _SKIP2, _CLASS_LEFT, _CLASS_RIGHT, _CLASS_PAIR = (0x1000193 * i for i in range(1, 8))
-
-
-def _slot(*hashes: int, kind: int = 0) -> int:
-    """The place of a feature: its words' hashes mixed by their order and kind."""
-    h = kind
-    for x, m in zip(hashes, _MIX):
-        h += x * m
-    return (h ^ (h >> 17)) & MASK
-
-
-def _slots(kind: int, *columns: np.ndarray) -> np.ndarray:
-    h = np.full(len(columns[0]), kind, dtype=np.int64)
-    for x, m in zip(columns, _MIX):
-        h = h + x * m
-    return (h ^ (h >> 17)) & MASK
-
-
-BIAS = _slot(zlib.crc32(b"*"))
-
-
-def features(segs: list[list[str]]) -> np.ndarray:
-    """Hashed unigrams to trigrams, skip-bigrams and the same over word classes of
-    segments, each once a segment, as `segment << BITS | slot` in ascending order."""
-    h = np.fromiter((_hash(t) for s in segs for t in s), dtype=np.int64)
-    at = np.repeat(np.arange(len(segs), dtype=np.int64), [len(s) for s in segs])
-    parts = [(np.arange(len(segs), dtype=np.int64) << BITS) | BIAS, (at << BITS) | _slots(0, h)]
-    for reach, kind, columns in ((1, _BIGRAM, (0, 1)), (2, _TRIGRAM, (0, 1, 2)), (2, _SKIP1, (0, 2)), (3, _SKIP2, (0, 3))):
-        if len(h) > reach:
-            n = len(h) - reach
-            inside = at[:n] == at[reach:]
-            parts.append(((at[:n] << BITS) | _slots(kind, *[h[c : c + n] for c in columns]))[inside])
-    own = []
-    for number, toks in enumerate(segs):
-        kinds = [(i, k) for i, t in enumerate(toks) if (k := _class(t))]
-        base, n = number << BITS, len(toks)
-        for x, (i, k) in enumerate(kinds):
-            c = _hash("#" + k)
-            own.append(base | _slot(c))
-            if i:
-                own.append(base | _slot(_hash(toks[i - 1]), c, kind=_CLASS_LEFT))
-            if i + 1 < n:
-                own.append(base | _slot(c, _hash(toks[i + 1]), kind=_CLASS_RIGHT))
-            for j, other in kinds[x + 1 :]:
-                if j > i + 6:
-                    break
-                own.append(base | _slot(c, _hash("#" + other), kind=_CLASS_PAIR))
-    if own:
-        parts.append(np.array(own, dtype=np.int64))
-    return np.unique(np.concatenate(parts))
-
-
-def class_slot(name: str) -> int:
-    """The place of `*`, `#CLASS` or `#CLASS ~ #CLASS`."""
-    one, _, two = name.partition(" ~ ")
-    return _slot(_hash(one), _hash(two), kind=_CLASS_PAIR) if two else _slot(_hash(one))
+    def scores(self, texts: Sequence[str | None]) -> np.ndarray:
+        """Log-odds of the worst segment of each text; -inf without words."""
+        out, since, size = [np.zeros(0)], 0, 0
+        for i, t in enumerate(texts):
+            size += len(t or "") + 1
+            if size > CHUNK or i == len(texts) - 1:
+                out.append(self._some(texts[since : i + 1]))
+                since, size = i + 1, 0
+        return np.concatenate(out)
+
+
+#: Labelled documents that a feature must occur in to count.
+LEAST_DOCUMENTS = 2
+#: A positive segment weighs as the square root of clean ones to each, by this.
+BALANCE = 6.0
+#: Log-odds of a document's worst segment from which a clean label, and below
+#: which (turn by turn) a positive one, is taken for a reader's error; and from which
+#: segments of a positive document other than the worst are positive too.
+DOUBT, ERROR, ALSO = 3.0, (-math.inf, -2.5, -1.0), 3.0
+#: Segments whose gradients are added up before the weights change.
+BATCH = 256
 
 
 class Ftrl:
     """FTRL-proximal for logistic loss, with a rate of its own for each weight."""
 
-    def __init__(self, alpha: float = 0.15, beta: float = 1.0, l1: float = 1.0, l2: float = 1.0) -> None:
+    def __init__(self, size: int, alpha: float = 0.15, beta: float = 1.0, l1: float = 1.0, l2: float = 1.0) -> None:
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
-        self.z, self.n = np.zeros(MASK + 1), np.zeros(MASK + 1)
-
-    def start(self, prior: np.ndarray) -> None:
-        """Weights that hold until examples say otherwise."""
-        self.z = -prior * (self.beta / self.alpha + self.l2) - np.sign(prior) * self.l1
+        self.z, self.n = np.zeros(size), np.zeros(size)
 
     def weights(self, at: np.ndarray | slice) -> np.ndarray:
         z, n = self.z[at], self.n[at]
         w = -(z - np.sign(z) * self.l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2)
         return np.where(np.abs(z) <= self.l1, 0.0, w)
 
-    def update(self, at: np.ndarray, label: float, weight: float) -> None:
-        w = self.weights(at)
-        p = 1.0 / (1.0 + math.exp(-max(-35.0, min(35.0, float(w.sum())))))
-        g = (p - label) * weight
-        n = self.n[at]
+    def update(self, at: np.ndarray, row: np.ndarray, label: np.ndarray, weight: np.ndarray) -> None:
+        """One step for a batch of examples: features `at`, each of example `row`."""
+        used, place = np.unique(at, return_inverse=True)
+        w = self.weights(used)
+        p = 1.0 / (1.0 + np.exp(-np.clip(np.bincount(row, w[place], len(label)), -35.0, 35.0)))
+        g = np.bincount(place, ((p - label) * weight)[row], len(used))
+        n = self.n[used]
         grown = n + g * g
-        self.z[at] += g - (np.sqrt(grown) - np.sqrt(n)) / self.alpha * w
-        self.n[at] = grown
+        self.z[used] += g - (np.sqrt(grown) - np.sqrt(n)) / self.alpha * w
+        self.n[used] = grown
 
 
-@dataclass
-class Model:
-    """Sparse weights and the words that masks are resolved to."""
+class Examples:
+    """Segments as rows of features; the last feature is the bias of each."""
 
-    index: np.ndarray
-    weight: np.ndarray
-    words: Words
-    threshold: float
+    def __init__(self, segment: np.ndarray, feature: np.ndarray, count: int, size: int) -> None:
+        order = np.argsort(segment, kind="stable")
+        self.feature, self.size, self.count = feature[order], size, count
+        self.until = np.cumsum(np.bincount(segment, minlength=count))
 
-    def dense(self) -> np.ndarray:
-        w = np.zeros(MASK + 1)
-        w[self.index] = self.weight
-        return w
+    def rows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(features, place in `chosen`) of the chosen segments in their order."""
+        n = np.diff(self.until, prepend=0)[chosen]
+        since = self.until[chosen] - n
+        at = np.repeat(since - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return self.feature[at], np.repeat(np.arange(len(chosen)), n)
 
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        n = np.diff(self.until, prepend=0)
+        return np.bincount(np.repeat(np.arange(self.count), n), weights[self.feature], self.count)
 
-#: Log-odds of words' classes before any label is seen; `*` is the bias.
-PRIOR = {
-    "*": -3.5, "#PROFANE": 4.0, "#INSULT": 2.5, "#SEXUAL": 2.2, "#HARM": 0.3, "#YOU ~ #INSULT": 1.5, "#YOU ~ #HARM": 1.0, "#SEXUAL ~ #SEXUAL": 1.5,
-    "#DEHUMAN ~ #TARGET": 2.0, "#TARGET ~ #DEHUMAN": 2.0, "#TARGET ~ #HARM": 2.0, "#HARM ~ #TARGET": 2.0,
-}
-#: Labelled documents that a feature must occur in to count.
-LEAST_DOCUMENTS = 3
-#: A positive segment weighs as the square root of clean ones to each, by this.
-BALANCE = 3.0
-#: Log-odds of a document's worst segment from which a clean label, and below
-#: which (turn by turn) a positive one, is taken for a reader's error.
-DOUBT, ERROR = 3.0, (-math.inf, -2.5, -1.0)
-
-
-def fit(labelled: Iterable[tuple[str | None, float]], epochs: int = 2, seed: int = 7, **params: float) -> Model:
-    """A model from (text, share of labels that are 1) of documents."""
-    docs = [(segments(t), share) for t, share in labelled if share != 0.5]
-    docs = [(s, int(share > 0.5)) for s, share in docs if s]
-    inside, outside = defaultdict(int), defaultdict(int)
-    blank = Words.of({})
-    for segs, y in docs:
-        for w in {w for s in segs for w in tokens(s, blank)}:
-            (inside if y else outside)[w] += 1
-    positives = sum(y for _, y in docs)
-    negatives = len(docs) - positives
-    rate = max(positives, 1) / max(negatives, 1)
-    words = Words.of({w: n / (1 + outside[w] * rate) for w, n in inside.items() if w.isalpha() and len(w) > 2})
-    encoded = [([features([tokens(s, words)]) for s in segs], y) for segs, y in docs]
-    seen = np.zeros(MASK + 1, dtype=np.int32)
-    for segs, _ in encoded:
-        seen[np.unique(np.concatenate(segs))] += 1
-    prior = np.zeros(MASK + 1)
-    for k, v in PRIOR.items():
-        prior[class_slot(k)] = v
-    usual = (seen >= LEAST_DOCUMENTS) | (prior != 0)
-    encoded = [([s[usual[s]] for s in segs], y) for segs, y in encoded]
-    rng = np.random.default_rng(seed)
-
-    def train(chosen: list[tuple[list[np.ndarray], int]]) -> np.ndarray:
-        """Weights fitted on segments that are all of their document's label."""
-        examples = [(x, y) for segs, y in chosen for x in segs]
-        ones = sum(y for _, y in examples)
-        balance = max(1.0, math.sqrt((len(examples) - ones) / ones) / BALANCE) if ones else 1.0
-        model = Ftrl(**params)
-        model.start(prior)
+    def train(self, chosen: np.ndarray, label: np.ndarray, weight: np.ndarray, epochs: int, rng: np.random.Generator, **params: float) -> np.ndarray:
+        model = Ftrl(self.size, **params)
         for _ in range(epochs):
-            for i in rng.permutation(len(examples)):
-                x, y = examples[i]
-                model.update(x, y, balance if y else 1.0)
+            turn = rng.permutation(len(chosen))
+            feature, row = self.rows(chosen[turn])
+            cuts = np.searchsorted(row, np.arange(0, len(chosen) + BATCH, BATCH))
+            y, v = label[turn], weight[turn]
+            for b, (i, j) in enumerate(zip(cuts, cuts[1:])):
+                at = slice(b * BATCH, (b + 1) * BATCH)
+                model.update(feature[i:j], row[i:j] - b * BATCH, y[at], v[at])
         return model.weights(slice(None))
 
-    scores = prior
-    if positives and negatives:
-        folds = [prior, prior]
-        for turn, error in enumerate(ERROR):
-            chosen: list[list[tuple[list[np.ndarray], int]]] = [[], []]
-            for i, (segs, y) in enumerate(encoded):
-                # Judged by the weights fitted without this document.
-                own = [float(folds[i % 2][x].sum()) for x in segs]
-                top = max(own)
-                if turn and (y and top < error or not y and top > DOUBT):
-                    continue
-                chosen[i % 2].append(([x for x, v in zip(segs, own) if v == top or v > 1] if y else segs, y))
-            if turn < len(ERROR) - 1:
-                folds = [train(chosen[1]), train(chosen[0])]
-            else:
-                scores = train(chosen[0] + chosen[1])
-    index = np.flatnonzero(scores)
-    return Model(index, scores[index], words, 0.0)
 
+def vocabulary(texts: Sequence[str], labels: np.ndarray) -> Vocabulary:
+    """The words of labelled documents, plainly read."""
+    reader = Reader(Vocabulary())
+    at, segment, document = reader.items_of(texts)
+    size = len(reader.items)
+    pairs = _distinct(document[segment] * size + at)
+    inside: dict[str, int] = defaultdict(int)
+    outside: dict[str, int] = defaultdict(int)
+    lower: dict[str, int] = defaultdict(int)
+    counts = [np.bincount((pairs % size)[labels[pairs // size] == y], minlength=size) for y in (1, 0)]
+    for item, word, ones, zeros in zip(reader.items, reader.plain, *counts):
+        inside[word] += int(ones)
+        outside[word] += int(zeros)
+        if not item[1] and word.isalpha():
+            lower[word] += int(ones + zeros)
+    positives = int(labels.sum())
+    return Vocabulary.of(inside, outside, [w for w, n in lower.items() if n >= 2], max(positives, 1) / max(len(labels) - positives, 1))
+
+
+def fit(labelled: Iterable[tuple[str | None, float]], epochs: int = 3, seed: int = 7, **params: float) -> Model | None:
+    """A model from (text, share of labels that are 1) of documents; None without
+    labels of both kinds."""
+    docs = [(t, int(share > 0.5)) for t, share in labelled if share != 0.5 and t and not t.isspace()]
+    texts, y = [t for t, _ in docs], np.array([v for _, v in docs], dtype=np.int64)
+    if not len(y) or y.min() == y.max():
+        return None
+    words = vocabulary(texts, y)
+    h, segment, document = Reader(words).read(texts)
+    if not len(h):
+        return None
+    at, slot = (np.concatenate(x) for x in zip(*slots(h, segment)))
+    # Features that enough documents have, as numbers without gaps; the bias is the last.
+    seen = np.bincount(_distinct(document[at] << BITS | slot) & MASK, minlength=MASK + 1)
+    usual = np.flatnonzero(seen >= LEAST_DOCUMENTS)
+    number = np.full(MASK + 1, -1)
+    number[usual] = np.arange(len(usual))
+    kept = number[slot] >= 0
+    every = np.arange(len(document))
+    x = Examples(np.concatenate([at[kept], every]), np.concatenate([number[slot[kept]], np.full(len(every), len(usual))]), len(every), len(usual) + 1)
+    rng = np.random.default_rng(seed)
 
-def score_segments(segs: list[str], dense: np.ndarray, words: Words) -> float:
-    """The greatest log-odds of a segment."""
-    if not segs:
-        return -math.inf
-    keys = features([tokens(s, words) for s in segs])
-    return float(np.bincount(keys >> BITS, dense[keys & MASK], len(segs)).max())
+    def train(chosen: np.ndarray) -> np.ndarray:
+        """Weights fitted on segments that are all of their document's label."""
+        label = y[document[chosen]]
+        ones = int(label.sum())
+        balance = max(1.0, math.sqrt((len(label) - ones) / ones) / BALANCE) if ones else 1.0
+        return x.train(chosen, label.astype(float), np.where(label == 1, balance, 1.0), epochs, rng, **params)
+
+    first = np.flatnonzero(np.diff(document, prepend=-1))
+    worst = lambda scores: np.repeat(np.maximum.reduceat(scores, first), np.diff(np.append(first, len(document))))
+    positive, half = y[document] == 1, document % 2
+    weights = np.zeros(x.size)
+    folds = [weights, weights]
+    keep = np.ones(len(document), dtype=bool)
+    for turn, error in enumerate(ERROR):
+        if turn:
+            # Clean labels are judged by the weights fitted without the document; which segments of a positive one count, with it.
+            own, held_out = x.scores(weights), np.where(half == 0, x.scores(folds[0]), x.scores(folds[1]))
+            top = worst(own)
+            keep = np.where(positive, (top >= error) & ((own == top) | (own > ALSO)), worst(held_out) <= DOUBT)
+        weights = train(every[keep])
+        if turn < len(ERROR) - 1:
+            folds = [train(every[keep & (half == 1)]), train(every[keep & (half == 0)])]
+    held = np.flatnonzero(weights[:-1])
+    return Model(usual[held], weights[held].astype(np.float32), float(weights[-1]), words)
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, row: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
@@ -375,31 +444,48 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, row: str = "doc_id"
     return documents.select(F.col(row).alias("__row"), F.col(text).alias("text")).join(F.broadcast(chosen), "__row").orderBy("__row").select("text", "share")
 
 
-def scored(documents: DataFrame, model: Model, row: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def scored(documents: DataFrame, model: Model | None, row: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(row, keep..., score): a score from 0 to 1 for every document."""
     import pyarrow as pa
     from pyspark.sql import types as T
 
     source = documents.select(row, *keep, F.col(text).alias("__text"))
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("score", T.DoubleType(), False)])
+    if model is None:
+        return source.select(row, *keep, F.lit(0.0).alias("score"))
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # sparse weights and the words of at most SAMPLE documents
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dense = model.dense()
+        scorer = Scorer(shared.value)
         for b in batches:
-            out = []
-            for t in b.column(b.num_columns - 1):
-                v = score_segments(segments(t.as_py()), dense, model.words)
-                out.append(0.0 if v == -math.inf else 1.0 / (1.0 + math.exp(-max(-35.0, min(35.0, v)))))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.float64())], names=[*b.schema.names[:-1], "score"])
+            odds = scorer.scores(b.column(b.num_columns - 1).to_pylist())
+            score = np.where(np.isneginf(odds), 0.0, 1.0 / (1.0 + np.exp(-np.clip(odds, -35.0, 35.0))))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score, pa.float64())], names=[*b.schema.names[:-1], "score"])
 
     return source.mapInArrow(run, schema)
 
 
 #: Documents of at least this score have such language.
 THRESHOLD = 0.5
+#: The model fitted last, with the fingerprint of what it was fitted on: queries over
+#: the same labels share it.
+_last: dict[str, Model | None] = {}
+
+
+def fitted(sample: Sequence[tuple[str | None, float]]) -> Model | None:
+    """fit, once for the same documents and labels in a row."""
+    digest = hashlib.sha256()
+    for text, share in sample:
+        digest.update(f"{share}|{len(text or '')}|".encode() + (text or "").encode("utf-8", "replace"))
+    key = digest.hexdigest()
+    if key not in _last:
+        model = fit(sample)
+        _last.clear()
+        _last[key] = model
+    return _last[key]
 
 
 def moderated(documents: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Fit on the labels and score every document."""
     sample = [(r["text"], r["share"]) for r in labelled_sample(documents, labels).toLocalIterator()]  # at most SAMPLE documents
-    return scored(documents, fit(sample), keep=keep)
+    return scored(documents, fitted(sample), keep=keep)
