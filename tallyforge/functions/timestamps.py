@@ -26,7 +26,7 @@ MONTHS = ("january", "february", "march", "april", "may", "june", "july", "augus
 #: Fixed offsets of zone abbreviations in minutes.
 ABBREVIATIONS = {"z": 0, "utc": 0, "gmt": 0, "est": -300, "edt": -240, "cst": -360, "cdt": -300, "mst": -420, "mdt": -360, "pst": -480, "pdt": -420}
 
-_TIME = r"(?:(?:\s+|T|t|,\s*)(?:at\s+)?(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,12}))?)?\s*([AaPp]\.?[Mm]\.?)?\s*([A-Za-z]{3}|[Zz]|(?:UTC|GMT)?[+-]\d{2}(?::?\d{2})?)?)?"
+_TIME = r"(?:(?:\s+|T|t|,\s*)(?:at\s+)?(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)?\s*([AaPp]\.?[Mm]\.?)?\s*([A-Za-z]{3}|[Zz]|(?:UTC|GMT)?[+-]\d{2}(?::?\d{2})?)?)?"
 _DAYNAME = r"(?:(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*\.?,?\s+)?"
 #: Each form rewritten to year|month|day|hour|minute|second|fraction|half|zone.
 _FORMS = (
@@ -115,10 +115,11 @@ def refresh_dictionary(raws: DataFrame, path: str, zone: str = LOCAL_ZONE, sourc
     """Extend the dictionary of distinct strings at `path` by those of
     raws(raw) it lacks for this source and zone, each parsed once, and read it.
 
-    Its columns: source, zone, raw, n (rows seen when it was added), utc_micros
-    (null for unreadable strings, so that they too are parsed only once)."""
+    It holds source, zone, raw, n (rows seen when it was added), utc_micros (null for
+    unreadable strings, so that they too are parsed only once). What comes back has the
+    n of these raws, 0 for strings they lack. Refreshes of one path must not run at once."""
     spark: SparkSession = raws.sparkSession
-    counted = raws.filter("raw IS NOT NULL").groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+    counted = every = raws.filter("raw IS NOT NULL").groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
     try:
         known = spark.read.parquet(path)
     except Exception as e:  # no dictionary yet
@@ -130,7 +131,8 @@ def refresh_dictionary(raws: DataFrame, path: str, zone: str = LOCAL_ZONE, sourc
         counted = counted.join(known.select("raw"), "raw", "left_anti")
     parsed = with_instant(counted, "raw", "utc_micros", zone).select(F.lit(source).alias("source"), F.lit(zone).alias("zone"), "raw", "n", "utc_micros")
     parsed.write.mode("append").parquet(path)
-    return spark.read.schema(parsed.schema).parquet(path).filter((F.col("source") == source) & (F.col("zone") == zone))
+    now = spark.read.schema(parsed.schema).parquet(path).filter((F.col("source") == source) & (F.col("zone") == zone))
+    return now if known is None else now.drop("n").join(every, "raw", "left").withColumn("n", F.coalesce("n", F.lit(0))).select(parsed.columns)
 
 
 #: A raw string is joined by broadcast where more than one row in so many holds

@@ -41,15 +41,17 @@ def matches(filters: Mapping[str, Any]) -> Column:
     return out
 
 
-def sum_by(df: DataFrame, keys: Sequence[str], amount: str, date: str | None = None, filters: Mapping[str, Any] | None = None, allowed: Sequence[str] | None = None, top: int | None = None) -> DataFrame:
+def sum_by(df: DataFrame, keys: Sequence[str], amount: str, date: str | None = None, filters: Mapping[str, Any] | None = None, allowed: Sequence[str] | None = None, top: int | None = None, distinct: Mapping[str, str] | None = None) -> DataFrame:
     """Sum, count, mean, least and greatest amount and first and last date by any of
-    the allowed columns, null keys included."""
+    the allowed columns, null keys included. distinct: output name to a column whose
+    different values are counted."""
     wrong = [k for k in keys if k not in (allowed or df.columns)]
     if wrong:
         raise ValueError(f"not a grouping column: {', '.join(wrong)}")
     aggs = [F.sum(amount).alias("total_amount"), F.count(F.lit(1)).alias("row_count"), F.avg(amount).alias("mean_amount"), F.min(amount).alias("min_amount"), F.max(amount).alias("max_amount")]
     if date:
         aggs += [F.min(date).alias("first_date"), F.max(date).alias("last_date")]
+    aggs += [F.count_distinct(c).alias(name) for name, c in (distinct or {}).items()]
     out = df.filter(matches(filters or {})).groupBy(*keys).agg(*aggs)
     return out if top is None else out.orderBy(F.col("total_amount").desc_nulls_last(), *keys).limit(top)
 

@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators.latest import keep_latest
 
-#: Rows of a lookup table from which it is not broadcast.
-BROADCAST_ROWS = 200_000
+#: Bytes of a lookup table, as text, up to which it is broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has no more rows than the limit."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def fits(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether all values of df together, arrays included, are no longer as text than
+    the limit, by measuring them."""
+    return (df.agg(F.sum(F.length(F.to_json(F.struct("*"))).cast("long"))).first()[0] or 0) <= limit
+
+
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it fits."""
+    return F.broadcast(df) if fits(df, limit) else df
 
 
 def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[str], row: str, distance: Column, ties: Sequence[Column]) -> DataFrame:
@@ -40,13 +46,28 @@ def tolerance_anti_join(left: DataFrame, right: DataFrame, key: Column, amount:
 
 def range_lookup(left: DataFrame, periods: DataFrame, value: str, low: str, high: str, ordinal: str, take: Sequence[str], equal: Sequence[tuple[str, str]] = (), row: str = "row") -> DataFrame:
     """Left rows with `take` of the first period (by ordinal) that contains the
-    value; null where none does. The periods are a small table, checked before it
-    is broadcast; each left row gives at most one row, whatever overlaps."""
+    value; null where none does. Each left row gives exactly one row, whatever
+    overlaps. A calendar of periods that is small, by its measured size, goes to
+    every row as one array, so the left side is not shuffled; a longer one is joined
+    and the first hit taken by `row`, which must then be unique."""
+    names = [low, high, ordinal, *take, *[b for _, b in equal]]
+    entry = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate([ordinal, *names])])
+    if fits(periods.select(*dict.fromkeys(names))):
+        calendar = periods.agg(F.array_sort(F.collect_list(entry)).alias("__calendar"))
+        at = {c: f"c{i + 1}" for i, c in enumerate(names)}
+
+        def holds(x: Column) -> Column:
+            on = F.col(value).between(x[at[low]], x[at[high]])
+            for a, b in equal:
+                on = on & (F.col(a) == x[at[b]])
+            return on
+
+        df = left.join(F.broadcast(calendar), F.lit(True)).withColumn("__hit", F.get(F.filter("__calendar", holds), F.lit(0)))
+        return df.select(*[F.col(c) for c in left.columns], *[F.col("__hit")[at[c]].alias(c) for c in take])
     on = F.col(value).between(F.col(low), F.col(high))
     for a, b in equal:
         on = on & (F.col(a) == F.col(b))
-    hit = left.join(small(periods), on)
-    first = hit.groupBy(row).agg(*[F.min_by(c, ordinal).alias(c) for c in take])
+    first = left.join(periods, on).groupBy(row).agg(*[F.min_by(c, ordinal).alias(c) for c in take])
     return left.join(first, row, "left")
 
 

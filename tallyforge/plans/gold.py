@@ -9,10 +9,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.scalars import category, cents, filled, has_word, parse_date, valid_name, week_start
+from tallyforge.functions.scalars import category, cents, filled, has_word, parse_date, similarity, valid_name, week_start
 from tallyforge.operators.aggregate import conditional_totals, edges
 from tallyforge.operators.latest import continuity_failures, flag_latest, keep_latest, keep_top_rank, modal
-from tallyforge.operators.matching import nearest_match, small, tolerance_anti_join
+from tallyforge.operators.matching import nearest_match, small
 
 TEST_WORDS = ("TESTER", "TESTY")
 NO_CANDIDATE = "NOT A CC"
@@ -178,18 +178,45 @@ def unmatched_contributions(cf: DataFrame, mappings: DataFrame, row: str, min_ye
     codes = mappings.filter(F.col("candidate_name_normalized") != NO_CANDIDATE).groupBy(F.col("candidate_name_normalized").alias("matched_candidate")).agg(F.array_sort(F.collect_set("committee_code")).alias("codes"))
     paid = paid.join(small(codes), "matched_candidate", "left").withColumn("codes", F.coalesce("codes", F.array("matched_code")))
     got = base.filter((F.col("schedule_type") == "ScheduleA") & (F.length("entity_name") > 5)).select(F.col("committee_code").alias("got_code"), F.col("entity_name_normalized").alias("got_from"), F.col("amount").alias("got_amount"), F.col("paid_on").alias("got_on"))
-    key = F.col("committee_name_normalized") == F.col("got_from")
-    return tolerance_anti_join(paid, got, key, ("amount", "got_amount"), ("paid_on", "got_on"), days, tolerance, F.array_contains("codes", F.col("got_code"))).drop("__name")
+    # One row a code, so that the join hashes on payer and recipient: a payer of many payments is spread.
+    each = paid.select(row, "committee_name_normalized", "amount", "paid_on", F.explode("codes").alias("code"))
+    key = (F.col("committee_name_normalized") == F.col("got_from")) & (F.col("code") == F.col("got_code"))
+    met = each.join(got, key & _close(tolerance) & _timely(days), "left_semi").select(row).distinct()
+    return paid.join(met, row, "left_anti").drop("__name")
 
 
-def failure_reasons(unmatched: DataFrame, receipts: DataFrame, row: str) -> DataFrame:
-    """Why a payment has no receipt: none at all from the payer, none of the amount,
-    or none near the date. receipts: got_from, got_amount, got_on."""
-    near = F.abs(F.col("amount") - F.col("got_amount")) <= 0.01
-    timely = F.col("got_on").between(F.date_sub("paid_on", 30), F.date_add("paid_on", 60))
-    flags = unmatched.join(receipts, F.col("committee_name_normalized") == F.col("got_from"), "left").groupBy(row).agg(F.bool_or(F.col("got_from").isNotNull()).alias("any"), F.bool_or(near).alias("amount_ok"), F.bool_or(timely).alias("date_ok"))
+def _close(tolerance: float) -> Column:
+    return F.abs(F.col("amount") - F.col("got_amount")) <= tolerance
+
+
+def _timely(days: tuple[int, int]) -> Column:
+    """The receipt's date near the payment's; a null date passes."""
+    return F.col("paid_on").isNull() | F.col("got_on").isNull() | F.col("got_on").between(F.date_sub("paid_on", days[0]), F.date_add("paid_on", days[1]))
+
+
+def failure_reasons(unmatched: DataFrame, receipts: DataFrame, row: str, tolerance: float = 0.01, days: tuple[int, int] = (30, 60), alike: float = 0.8) -> DataFrame:
+    """(row, reason, best_name): why a payment has no receipt under the codes of the
+    matched candidate: none at all from the payer (`no_receipts`), or whether some
+    receipt is near the date and whether some has the amount. For `no_receipts`
+    best_name is the most similar name of a payer under these codes, from `alike` on.
+
+    receipts: got_code, got_from, got_amount, got_on. Payments meet the receipts of
+    one payer and code, counted by amount and day, and the distinct names of a code."""
+    each = unmatched.select(row, "committee_name_normalized", "amount", "paid_on", F.explode("codes").alias("code"))
+    distinct = receipts.select("got_code", "got_from", "got_amount", "got_on").distinct()
+    key = (F.col("committee_name_normalized") == F.col("got_from")) & (F.col("code") == F.col("got_code"))
+    flags = each.join(distinct, key).groupBy(row).agg(F.bool_or(_close(tolerance)).alias("amount_ok"), F.bool_or(_timely(days)).alias("date_ok"), F.lit(True).alias("any"))
     yes = lambda c: F.when(F.coalesce(F.col(c), F.lit(False)), "yes").otherwise("no")
-    return flags.select(row, F.when(~F.col("any"), "no_receipts").otherwise(F.concat(F.lit("date_"), yes("date_ok"), F.lit("_amount_"), yes("amount_ok"))).alias("reason"))
+    out = unmatched.select(row, "committee_name_normalized", "codes").join(flags, row, "left")
+    out = out.withColumn("reason", F.when(F.col("any").isNull(), "no_receipts").otherwise(F.concat(F.lit("date_"), yes("date_ok"), F.lit("_amount_"), yes("amount_ok"))))
+    asked = out.filter("any IS NULL").select("committee_name_normalized", F.explode("codes").alias("got_code")).distinct()
+    names = receipts.select("got_code", "got_from").distinct()
+    score = similarity(F.col("committee_name_normalized"), F.col("got_from"))
+    close = asked.join(names, "got_code").withColumn("score", score).filter(F.col("score") >= alike)
+    best = close.groupBy("committee_name_normalized", "got_code").agg(F.max(F.struct("score", "got_from")).alias("b"))
+    per_row = out.filter("any IS NULL").select(row, "committee_name_normalized", F.explode("codes").alias("got_code")).join(best, ["committee_name_normalized", "got_code"])
+    named = per_row.groupBy(row).agg(F.max("b").getField("got_from").alias("best_name"))
+    return out.join(named, row, "left").select(row, "reason", "best_name")
 
 
 def latest_balances(reports: DataFrame, as_of: Column | None = None, ties: Sequence[str] = ("row_id",)) -> DataFrame:

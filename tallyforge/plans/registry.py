@@ -15,8 +15,8 @@ from tallyforge.functions.scalars import cents, code_year, first_filled, money,
 from tallyforge.operators import aggregate as A
 from tallyforge.operators import latest as L
 from tallyforge.operators import matching as M
-from tallyforge.plans import gold, surface
-from tallyforge.sources import files
+from tallyforge.plans import gold, oracles, silver, surface
+from tallyforge.sources import files, rejects
 from tallyforge.streaming import amendments
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,18 +194,18 @@ def _balances(spark: SparkSession, d: str) -> DataFrame:
 def balance_continuity(spark: SparkSession, d: str) -> DataFrame:
     """Schedule H reports that do not open with the balance before."""
     df = gold.balance_failures(gold.fact_report_summary(_balances(spark, d)), ["row_id"])
-    return df.select("row_id", "committee_code", "due_day", "previous_due_date", "starting_balance", "previous_ending_balance", "discrepancy")
+    return rounded(df.select("row_id", "committee_code", "due_day", "previous_due_date", "starting_balance", "previous_ending_balance", "discrepancy"), "discrepancy")
 
 
 @query()
 def suspicious_balances(spark: SparkSession, d: str) -> DataFrame:
     df = gold.suspicious_balances(gold.fact_report_summary(_balances(spark, d)))
-    return df.select("row_id", "committee_code", "ending_balance", "line_19", "line_19_discrepancy", "negative_ending_balance", "line_19_mismatch")
+    return rounded(df.select("row_id", "committee_code", "ending_balance", "line_19", "line_19_discrepancy", "negative_ending_balance", "line_19_mismatch"), "line_19_discrepancy")
 
 
 @query()
 def local_election_costs(spark: SparkSession, d: str) -> DataFrame:
-    return gold.local_election_costs(gold.fact_report_summary(_balances(spark, d)), ["row_id"])
+    return rounded(gold.local_election_costs(gold.fact_report_summary(_balances(spark, d)), ["row_id"]), "total_disbursements").withColumn("avg_disbursements", F.round("avg_disbursements", 4))
 
 
 @query()
@@ -223,7 +223,8 @@ def county_totals(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def race_totals(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(gold.race_totals(_balances(spark, d), ["office_sought", "district"]), "avg_disbursements", "total_disbursements")
+    df = rounded(gold.race_totals(_balances(spark, d), ["office_sought", "district"]), "total_disbursements")
+    return df.withColumn("avg_disbursements", F.round("avg_disbursements", 4))
 
 
 @query()
@@ -259,10 +260,19 @@ def unmatched_contributions(spark: SparkSession, d: str) -> DataFrame:
     return gold.unmatched_contributions(cf, _payees(cf), "row_id", 2010, 100).select("row_id", "matched_code", "matched_candidate", "amount")
 
 
-@query()
+@query(UNMATCHED_SQL + """, x AS (SELECT m.*, coalesce(k.codes, [m.matched_code]) AS codes FROM m LEFT JOIN k ON k.c = m.matched_candidate WHERE rn = 1),
+  u AS (SELECT row_id, committee_name_normalized AS payer, amount, paid_on, codes FROM x WHERE NOT EXISTS (SELECT 1 FROM received a WHERE list_contains(x.codes, a.committee_code) AND a.entity_name_normalized = x.committee_name_normalized AND abs(a.amount - x.amount) <= 0.01
+    AND (x.paid_on IS NULL OR a.paid_on IS NULL OR a.paid_on BETWEEN x.paid_on - 30 AND x.paid_on + 60))),
+  g AS (SELECT DISTINCT committee_code, entity_name_normalized AS payee, amount, paid_on FROM received),
+  e AS (SELECT row_id, payer, amount, paid_on, unnest(codes) AS code FROM u),
+  f AS (SELECT e.row_id, bool_or(abs(g.amount - e.amount) <= 0.01) AS a, bool_or(e.paid_on IS NULL OR g.paid_on IS NULL OR g.paid_on BETWEEN e.paid_on - 30 AND e.paid_on + 60) AS d FROM e JOIN g ON g.committee_code = e.code AND g.payee = e.payer GROUP BY 1),
+  y AS (SELECT e.row_id, payee, (greatest(length(payer), length(payee)) - levenshtein(payer, payee)) / greatest(length(payer), length(payee)) AS score FROM e JOIN (SELECT DISTINCT committee_code, payee FROM g) g ON g.committee_code = e.code WHERE payer <> '' AND payee <> ''),
+  z AS (SELECT row_id, max_by(payee, struct_pack(s := score, p := payee)) AS best_name FROM y WHERE score >= 0.8 GROUP BY 1)
+  SELECT u.row_id, CASE WHEN f.row_id IS NULL THEN 'no_receipts' ELSE 'date_' || CASE WHEN d THEN 'yes' ELSE 'no' END || '_amount_' || CASE WHEN a THEN 'yes' ELSE 'no' END END AS reason, CASE WHEN f.row_id IS NULL THEN best_name END AS best_name FROM u LEFT JOIN f USING (row_id) LEFT JOIN z USING (row_id)""")
 def unmatched_reasons(spark: SparkSession, d: str) -> DataFrame:
     cf = t(spark, d, "campaign_finance")
-    got = cf.filter("schedule_type = 'ScheduleA' AND report_year >= 2010").select(F.col("entity_name_normalized").alias("got_from"), F.col("amount").alias("got_amount"), parse_date(F.col("transaction_date")).alias("got_on"))
+    got = cf.filter("schedule_type = 'ScheduleA' AND report_year >= 2010 AND amount >= 100 AND length(entity_name) > 5")
+    got = got.select(F.col("committee_code").alias("got_code"), F.col("entity_name_normalized").alias("got_from"), F.col("amount").alias("got_amount"), parse_date(F.col("transaction_date")).alias("got_on"))
     return gold.failure_reasons(gold.unmatched_contributions(cf, _payees(cf), "row_id", 2010, 100), got, "row_id")
 
 
@@ -423,6 +433,14 @@ def _name_sql(c: str) -> str:
     return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
 
 
+def _either_sql(c: str) -> str:
+    """A name that may be a person's or an organisation's."""
+    out = NAME_SQL.format(c=c)
+    for pattern, to in normalize.SHORTENED:
+        out = f"regexp_replace({out}, '{pattern}', '{to.replace('$1', chr(92) + '1')}', 'g')"
+    return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
+
+
 @query("SELECT p_partkey, " + _name_sql("p_name || ' & Virginia Street Association Inc'") + " AS n FROM part")
 def normalize_names(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "part").select("p_partkey", normalize.name(F.concat("p_name", F.lit(" & Virginia Street Association Inc")), False).alias("n"))
@@ -480,7 +498,7 @@ def spellings(spark: SparkSession, d: str) -> DataFrame:
     return df.groupBy(F.col("entity_name").alias("name_variation"), F.coalesce("entity_name_normalized", F.lit("")).alias("current_normalized")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query("WITH p AS (SELECT DISTINCT entity_name AS name_variation, coalesce(entity_name_normalized, '') AS current_normalized FROM campaign_finance WHERE entity_name IS NOT NULL), q AS (SELECT *, " + _either_sql("name_variation") + " AS new_normalized FROM p) SELECT *, current_normalized <> new_normalized AS changed FROM q")
 def normalization_regression(spark: SparkSession, d: str) -> DataFrame:
     return surface.regression(t(spark, d, "campaign_finance"), "entity_name", "entity_name_normalized", lambda c: normalize.name(c))
 
@@ -494,3 +512,76 @@ def first_purpose(spark: SparkSession, d: str) -> DataFrame:
 def sample_top_donors(spark: SparkSession, d: str) -> DataFrame:
     df = A.sum_by(fact(spark, d).filter("transaction_category = 'receipt'"), ["entity_name"], "amount", top=25)
     return df.select("entity_name", two("total_amount").alias("total_amount"), "row_count")
+
+
+@query(f"""WITH a AS ({oracles.LOADED_A}), r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY folder_name, trim("ReportId") ORDER BY line_id DESC) AS rn FROM ({oracles.LOADED_R})) WHERE rn = 1),
+  n AS (SELECT line_id, folder_name, trim("ReportId") AS report_id, "Amount" AS raw, nullif("FirstName", '') AS f, nullif("MiddleName", '') AS m, nullif("LastOrCompanyName", '') AS l, lower(trim("IsIndividual")) AS flag FROM a),
+  j AS (SELECT n.*, nullif("CommitteeCode", '') AS committee_code, nullif("CandidateName", '') AS candidate_name, TRY_CAST(nullif("ReportYear", '') AS INTEGER) AS report_year, nullif("ElectionCycle", '') AS election_cycle, nullif("OfficeSought", '') AS office_sought, nullif("District", '') AS district
+    FROM n LEFT JOIN r ON n.folder_name = r.folder_name AND n.report_id = trim(r."ReportId")),
+  k AS (SELECT *, {oracles.office_sql("office_sought")} AS office_sought_normal FROM j)
+  SELECT line_id, folder_name, report_id, coalesce(CASE WHEN regexp_matches(trim(raw), '^\\$?\\(.*\\)$') THEN -1 ELSE 1 END * TRY_CAST(regexp_replace(trim(raw), '[()$,\\s]', '', 'g') AS DOUBLE), 0) AS amount,
+    coalesce(CASE WHEN l IS NULL THEN '' WHEN f IS NOT NULL THEN concat_ws(' ', nullif(trim(f), ''), nullif(trim(m), ''), nullif(trim(l), '')) ELSE l END, '') AS entity_name,
+    CASE WHEN flag IN ('true', 't', 'yes') THEN true WHEN flag IN ('false', 'f', 'no') THEN false ELSE TRY_CAST(flag AS DOUBLE) <> 0 END AS entity_is_individual, committee_code, candidate_name, report_year, election_cycle,
+    CASE WHEN election_cycle IS NULL THEN NULL WHEN starts_with(trim(election_cycle), '11/') THEN 'general' ELSE 'primary' END AS primary_or_general, office_sought_normal, {oracles.level_sql("office_sought_normal", "district")} AS level FROM k""")
+def silver_transactions(spark: SparkSession, d: str) -> DataFrame:
+    """The conforming ScheduleA records as transactions with their report's attributes."""
+    a = rejects.strict_load(t(spark, d, "schedulea"), rejects.SCHEDULE_A_SPEC, keep=("folder_name",)).withColumn("schedule_type", F.lit("ScheduleA"))
+    out = silver.transactions_new(a, _reports(spark, d), keep=("line_id",))
+    return out.select("line_id", "folder_name", "report_id", "amount", "entity_name", "entity_is_individual", "committee_code", "candidate_name", "report_year", "election_cycle", "primary_or_general", "office_sought_normal", "level")
+
+
+def _reports(spark: SparkSession, d: str) -> DataFrame:
+    return rejects.strict_load(t(spark, d, "report"), rejects.REPORT_SPEC, keep=("folder_name",)).withColumn("line_no", F.col("line_id"))
+
+
+@query(f"""WITH a AS ({oracles.LOADED_A}), r AS ({oracles.LOADED_R}) SELECT folder_name, trim("ReportId") AS report_id, count(*) AS row_count FROM a
+  WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.folder_name = a.folder_name AND trim(r."ReportId") = trim(a."ReportId")) GROUP BY 1, 2""")
+def silver_unmatched_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Report ids of conforming ScheduleA records that no report of the folder has."""
+    a = rejects.strict_load(t(spark, d, "schedulea"), rejects.SCHEDULE_A_SPEC, keep=("folder_name",)).withColumn("report_id", F.trim("ReportId"))
+    return silver.unmatched_reports(a, _reports(spark, d))
+
+
+@query(f"""WITH r AS (SELECT report_row_id, {date_sql("report_date")} AS d, report_year, TRY_CAST(regexp_extract(election_cycle, '([^/]*)$', 1) AS INTEGER) AS election FROM dim_report),
+  p AS (SELECT make_date(CAST(y AS INTEGER), 1 + 6 * CAST(h AS INTEGER), 1) AS lo, CASE h WHEN 0 THEN make_date(CAST(y AS INTEGER), 6, 30) ELSE make_date(CAST(y AS INTEGER), 12, 31) END AS hi, CASE h WHEN 0 THEN make_date(CAST(y AS INTEGER), 6, 15) ELSE make_date(CAST(y AS INTEGER), 12, 15) END AS deadline, on_cycle
+    FROM range(1999, 2031) a(y), range(0, 2) b(h), (VALUES (true), (false)) c(on_cycle))
+  SELECT report_row_id, CASE WHEN d IS NOT NULL AND report_year IS NOT NULL THEN coalesce(d <= deadline, false) END AS on_time FROM r LEFT JOIN p ON d BETWEEN lo AND hi AND on_cycle = coalesce(report_year = election, false)""")
+def report_on_time(spark: SparkSession, d: str) -> DataFrame:
+    """Whether a report's date is by the deadline of its half year."""
+    y = spark.range(1999, 2031).select(F.col("id").cast("int").alias("y"), F.explode(F.array(F.lit(0), F.lit(1))).alias("h"))
+    y = y.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("on_cycle"))
+    first = F.make_date("y", 1 + 6 * F.col("h"), F.lit(1))
+    periods = y.select(first.alias("period_start"), F.last_day(F.add_months(first, 5)).alias("period_end"), F.make_date("y", 6 + 6 * F.col("h"), F.lit(15)).alias("deadline"), "on_cycle", (F.col("y") * 2 + F.col("h")).alias("ordinal"))
+    return silver.on_time(t(spark, d, "dim_report"), periods, "report_row_id").select("report_row_id", "on_time")
+
+
+@query(FACT_SQL + """SELECT committee_name_normalized, round(sum(amount), 2) AS total_amount, count(*) AS row_count, count(DISTINCT entity_name_normalized) AS entities FROM fact WHERE transaction_category = 'disbursement' AND committee_name_normalized <> '' GROUP BY 1 ORDER BY sum(amount) DESC NULLS LAST, 1 LIMIT 10""")
+def top_payers(spark: SparkSession, d: str) -> DataFrame:
+    """The ten committees that paid most, with their payees counted."""
+    df = fact(spark, d).filter("transaction_category = 'disbursement' AND committee_name_normalized <> ''")
+    out = A.sum_by(df, ["committee_name_normalized"], "amount", top=10, distinct={"entities": "entity_name_normalized"})
+    return out.select("committee_name_normalized", two("total_amount").alias("total_amount"), "row_count", "entities")
+
+
+@query(FACT_SQL + """SELECT candidate_name, round(sum(amount), 2) AS total_amount, count(*) AS row_count FROM fact WHERE transaction_category = 'receipt' AND level = 'local' GROUP BY 1 ORDER BY sum(amount) DESC NULLS LAST, 1 NULLS FIRST LIMIT 50""")
+def sample_local_receipts(spark: SparkSession, d: str) -> DataFrame:
+    df = A.sum_by(fact(spark, d).filter("transaction_category = 'receipt'"), ["candidate_name"], "amount", filters={"level": ["local"]}, top=50)
+    return df.select("candidate_name", two("total_amount").alias("total_amount"), "row_count")
+
+
+@query(FACT_SQL + """SELECT row_id, entity_name, amount FROM fact WHERE NOT is_suspected_test_record ORDER BY amount DESC NULLS LAST, row_id LIMIT 100""")
+def sample_largest_transactions(spark: SparkSession, d: str) -> DataFrame:
+    df = fact(spark, d).filter("NOT is_suspected_test_record")
+    return df.orderBy(F.col("amount").desc_nulls_last(), "row_id").limit(100).select("row_id", "entity_name", "amount")
+
+
+@query(oracles.balances_sql(date_sql) + f""", f AS (SELECT row_id, ending_balance < 0 AS negative, abs(coalesce(ending_balance, 0) - coalesce(line_19, ending_balance)) AS gap FROM s)
+  SELECT row_id, negative AS negative_ending_balance, round(gap, 2) AS line_19_discrepancy FROM f WHERE negative OR gap > 0.01 ORDER BY negative DESC, round(gap, 2) DESC NULLS LAST, row_id LIMIT 50""")
+def sample_worst_balances(spark: SparkSession, d: str) -> DataFrame:
+    """Suspicious balances, negative ones and the largest discrepancies first."""
+    df = rounded(gold.suspicious_balances(gold.fact_report_summary(_balances(spark, d))), "line_19_discrepancy")
+    df = df.orderBy(F.col("negative_ending_balance").desc_nulls_last(), F.col("line_19_discrepancy").desc_nulls_last(), "row_id").limit(50)
+    return df.select("row_id", "negative_ending_balance", "line_19_discrepancy")
+
+
+ORACLE.update(oracles.queries(date_sql))

@@ -41,12 +41,13 @@ def report_attributes(reports: DataFrame) -> DataFrame:
     return keyed.select("folder_name", "report_id", *[have(keyed, c).alias(o) for o, c in REPORT_FIELDS.items()])
 
 
-def transactions_new(schedule: DataFrame, reports: DataFrame) -> DataFrame:
-    """Records of a new-layout schedule with the attributes of their report."""
+def transactions_new(schedule: DataFrame, reports: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Records of a new-layout schedule with the attributes of their report; `keep`
+    columns go through."""
     first, middle, last = (have(schedule, c) for c in ("FirstName", "MiddleName", "LastOrCompanyName"))
     person = filled(F.coalesce(first, F.lit("")))
     rows = schedule.select(
-        F.trim("ReportId").alias("report_id"), "folder_name", "schedule_type",
+        *keep, F.trim("ReportId").alias("report_id"), "folder_name", "schedule_type",
         have(schedule, "TransactionDate").alias("transaction_date"), money(have(schedule, "Amount")).alias("amount"), money(have(schedule, "TotalToDate")).alias("total_to_date"),
         F.coalesce(F.when(~filled(F.coalesce(last, F.lit(""))), "").when(person, joined(first, middle, last)).otherwise(last), F.lit("")).alias("entity_name"),
         first.alias("entity_first_name"), F.when(person, last).alias("entity_last_name"), joined(have(schedule, "AddressLine1"), have(schedule, "AddressLine2")).alias("entity_address"),

@@ -3,7 +3,10 @@ scratch folder every stage that cuts lineage writes to."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -27,12 +30,17 @@ def build_session(app: str = "tallyforge", cores: int | str = "*", shuffle_parti
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share. It is the session's
-    spark.checkpoint.dir; only where that is unset, as in tests on one machine,
-    a temporary folder is made and set."""
+    spark.checkpoint.dir. Only on one machine (a local master) a temporary folder is
+    made where it is unset, and removed when Python ends; elsewhere that raises."""
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tallyforge-"))
+        if not configured and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="tallyforge-")
+            atexit.register(shutil.rmtree, configured, ignore_errors=True)
+        sc.setCheckpointDir(configured)
     return configured or sc.getCheckpointDir()
 
 

@@ -7,7 +7,7 @@ Match scores start from name similarity, flow along equal edge labels of the
 pairwise graph until they converge, and one-to-one correspondences are taken per
 folder. Only schema metadata (distinct keys with their types and folders) reaches
 the driver; rows stay distributed. Unmatched keys are kept out of the union and
-listed by `correspondences` with a null field.
+listed by `correspondences` with a null field; `unified` keeps their values in a map.
 """
 
 from __future__ import annotations
@@ -251,7 +251,9 @@ def unified(df: DataFrame, fields: Iterable[Canonical], record: str = "record",
     """(keep..., folder_name, the canonical fields): all records as one table.
 
     Numbers written as text, with thousands commas, `$` or accounting
-    parentheses, are cast; what does not fit its type is null."""
+    parentheses, are cast; what does not fit its type is null. Values of keys that
+    correspond to no field, and all of a record whose folder has no year, are kept as
+    they are in `unmatched`, a map of key to text; null where there are none."""
     fields = list(fields)
     matched = correspondences(profile(df, record, folder), fields).filter("field IS NOT NULL")
     by_folder = matched.groupBy("folder").agg(F.map_from_entries(F.collect_list(F.struct("field", "key"))).alias("__keys"))
@@ -267,4 +269,5 @@ def unified(df: DataFrame, fields: Iterable[Canonical], record: str = "record",
             out.append((number if f.sql_type == "double" else number.try_cast(f.sql_type)).alias(f.name))
         else:
             out.append(F.nullif(F.trim(text), F.lit("")).alias(f.name))
-    return rows.select(*keep, F.col("folder").alias("folder_name"), *out)
+    rest = F.map_filter("__r", lambda k, v: ~F.array_contains(F.coalesce(F.map_values("__keys"), F.array().cast("array<string>")), k))
+    return rows.select(*keep, F.col("folder").alias("folder_name"), *out, F.when(F.size(rest) > 0, rest).alias("unmatched"))

@@ -7,6 +7,7 @@ with their text, none is skipped. Blank fields come as empty strings."""
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,19 +55,36 @@ def error_pages(spark: SparkSession, root: str, below: int = 100) -> DataFrame:
 
 
 def headers(spark: SparkSession, paths: str | Sequence[str], encoding: str = "ISO-8859-1") -> DataFrame:
-    """(path, columns): the first line of each file."""
-    lines = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split("value", r"\r?\n").getItem(0).alias("line"))
-    return lines.select("path", F.transform(F.split("line", ","), lambda c: F.regexp_replace(F.trim(c), '^"|"$', "")).alias("columns"))
+    """(path, columns): the names in the first line of each file. Lines are read as
+    lines, no file is held whole, and an aggregate keeps the first."""
+    schema = "line string"
+    reader = spark.read.schema(schema).option("encoding", encoding).option("sep", "\x01").option("quote", "").option("lineSep", "\n")
+    first = reader.csv(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"), "line")
+    first = first.filter("start = 0").groupBy("path").agg(F.min_by("line", "at").alias("line"))
+    names = F.split(F.regexp_replace("line", "^\\x{FEFF}|^\u00ef\u00bb\u00bf|\\r$", ""), ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)")
+    return first.select("path", F.transform(names, lambda c: F.regexp_replace(F.trim(c), '^"|"$', "")).alias("columns"))
 
 
 def scan_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], encoding: str = "ISO-8859-1") -> DataFrame:
     """All records as text, with folder_name, file_name and, for those that do not
-    fit, their text in _corrupt_record."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, CORRUPT)])
+    fit, their text in _corrupt_record.
+
+    Columns are taken by the names in each file's own header, in whatever order they
+    stand; one that a file lacks is empty, one that is not asked for is left out. Files
+    of the same header are read together."""
+    layouts = headers(spark, paths, encoding).groupBy("columns").agg(F.collect_list("path").alias("paths")).collect()  # file names by header: metadata
+    parts = [_scan(spark, [unquote(p) for p in r["paths"]], list(r["columns"]), columns, encoding) for r in sorted(layouts, key=lambda r: r["columns"])]
+    return union_all(parts) if parts else _scan(spark, paths, list(columns), columns, encoding)
+
+
+def _scan(spark: SparkSession, paths: str | Sequence[str], header: Sequence[str], columns: Sequence[str], encoding: str) -> DataFrame:
+    slots = [f"c{i}" for i in range(len(header))]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*slots, CORRUPT)])
     reader = spark.read.schema(schema).option("header", "true").option("encoding", encoding).option("quote", '"').option("escape", '"').option("multiLine", "true")
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("ignoreLeadingWhiteSpace", "true").option("enforceSchema", "true")
     df = reader.csv(paths).withColumn("folder_name", folder_of(F.col("_metadata.file_path"))).withColumn("file_name", F.col("_metadata.file_name"))
-    return df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns], CORRUPT, "folder_name", "file_name")
+    at = {c: s for c, s in reversed(list(zip(header, slots)))}
+    return df.select(*[(F.coalesce(at[c], F.lit("")) if c in at else F.lit("")).alias(c) for c in columns], CORRUPT, "folder_name", "file_name")
 
 
 def split_quarantine(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:

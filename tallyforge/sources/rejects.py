@@ -93,10 +93,12 @@ def rejects(raw_rows: DataFrame, spec: RecordSpec, offset: str = "line_id", raw:
     The anti-join is on the offset with a hash of the record, so an offset that
     occurs twice, once broken, still gives its broken record."""
     loaded = strict_load(raw_rows, spec, offset, raw).select(F.col(offset).alias("__o"), F.col("__record").alias("__r"))
-    rest = raw_rows.select(offset, raw).withColumn("__record", F.xxhash64(raw))
-    rest = rest.join(loaded, F.col(offset).eqNullSafe(F.col("__o")) & (F.col("__record") == F.col("__r")), "left_anti")
     reason = F.when(~F.col("__quoted"), "quoting").when(F.col("__count") != len(spec.columns), "column_count").otherwise("invalid_value")
-    return _judged(rest, raw, spec).select(offset, raw, reason.alias("reason"))
+    judged = _judged(raw_rows.select(offset, raw), raw, spec).withColumn("__record", F.xxhash64(raw)).withColumn("reason", reason)
+    # Of loaded records only offset and hash are joined, no text: all but the rejects' own texts stay where they are.
+    good = F.col("__quoted") & (F.col("__count") == len(spec.columns)) & F.col("__valid")
+    rest = judged.select(offset, F.when(~good, F.col(raw)).alias(raw), "__record", "reason")
+    return rest.join(loaded, F.col(offset).eqNullSafe(F.col("__o")) & (F.col("__record") == F.col("__r")), "left_anti").select(offset, raw, "reason")
 
 
 def load_audit(raw_rows: DataFrame, spec: RecordSpec, offset: str = "line_id", raw: str = "raw_line") -> DataFrame:

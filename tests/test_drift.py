@@ -76,3 +76,10 @@ def test_flooded_scores_select_and_exact_phrases_only_check(monkeypatch):
     # Scores that put a key beside its phrase are caught.
     monkeypatch.setattr(drift, "flood", lambda kinds, fields: {(k, f.name): float(want.get(k) != f.name) for k in kinds for f in fields})
     assert drift.correspond({"2020": set(want)}, kinds, fields) == {("2020", k): f for k, f in want.items()}
+
+
+def test_unified_keeps_what_it_cannot_place(spark):
+    rows = [(1, "2012_01", '{"ReportId": 1, "Zzyzx Qwv": "kept"}'), (2, "nowhere", '{"ReportId": 2}'), (3, "2012_01", '{"ReportId": 3}')]
+    df = drift.unified(spark.createDataFrame(rows, "row_id long, folder_name string, record string"), drift.SCHEDULE_H)
+    got = {r.row_id: (r.folder_name, r.report_id, r.unmatched) for r in df.collect()}
+    assert got == {1: ("2012_01", 1, {"Zzyzx Qwv": "kept"}), 2: (None, None, {"ReportId": "2"}), 3: ("2012_01", 3, None)}

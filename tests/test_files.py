@@ -40,6 +40,16 @@ def test_scan_quarantines_and_audits(spark, root):
     assert heads == {"ScheduleA_PAC.csv": ["Id", "Name", "Amount"]}
 
 
+def test_columns_go_by_name_in_each_file(spark, root, tmp_path):
+    for name, data in (("2023_01/ScheduleA.csv", b"Amount,Name,Id\n7,Ann,10\n"), ("2023_02/Schedule A.csv", b'"Id","Name"\r\n11,Bo\r\n'), ("2023_03/ScheduleA.csv", b"Id,Sec\xa7,Amount,Name\n12,x,3,Cy\n"), ("2023_04/ScheduleA.csv", b"Id,Name,Amount\n")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    df = files.scan_csv(spark, [f"{root}/{f}" for f in ("2023_01", "2023_02", "2023_03", "2023_04", "2006")], ["Id", "Name", "Amount"])
+    assert {(r.Id, r.Name, r.Amount, r._corrupt_record) for r in df.collect()} == {("10", "Ann", "7", None), ("11", "Bo", "", None), ("12", "Cy", "3", None), ("6", "x", "1", None)}
+    heads = {r.path.rsplit("/", 2)[1]: r.columns for r in files.headers(spark, f"{root}/2023_03").collect()}
+    assert heads == {"2023_03": ["Id", "Sec\xa7", "Amount", "Name"]}
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
     path = str(tmp_path / "t")

@@ -78,3 +78,18 @@ def test_top_rank_is_limited_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     plan = L.keep_top_rank(df, ["k"], [F.col("id").desc()])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_range_lookup_gives_each_row_once_whatever_the_size_of_the_periods(spark, monkeypatch):
+    v = spark.createDataFrame([(1, 5, "x"), (1, 5, "x"), (2, None, "x"), (3, 50, "x")], "row int, v int, c string")
+    periods = spark.createDataFrame([(0, 9, 2, "second"), (1, 9, 1, "first"), (40, 60, 3, None)], "lo int, hi int, o int, name string")
+    got = sorted(((r.row, r.name) for r in M.range_lookup(v, periods, "v", "lo", "hi", "o", ["name"]).collect()), key=str)
+    assert got == [(1, "first"), (1, "first"), (2, None), (3, None)]
+    monkeypatch.setattr(M, "fits", lambda df, limit=0: False)
+    one = v.dropDuplicates(["row"])
+    assert {(r.row, r.name) for r in M.range_lookup(one, periods, "v", "lo", "hi", "o", ["name"]).collect()} == {(1, "first"), (2, None), (3, None)}
+
+
+def test_lookup_tables_are_measured_before_they_are_broadcast(spark):
+    wide = spark.range(10).select(F.array_repeat("id", 100).alias("a"))
+    assert M.fits(wide) and not M.fits(wide, 1000) and M.fits(wide.limit(0), 0)

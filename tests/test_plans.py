@@ -101,6 +101,9 @@ def test_guard(spark):
     for bad in ("DROP TABLE numbers", "DROP(x)", "SELECT 1; SELECT 2", "INSERT INTO numbers SELECT 1", "CREATE TABLE a AS SELECT 1", "SET a=b", ""):
         with pytest.raises(surface.QueryRefused):
             surface.guarded(spark, bad)
+    for bad in ("SELECT reflect('java.lang.System', 'getProperty', 'user.dir')", "SELECT java_method ('a', 'b')", "SELECT * FROM parquet.`/tmp/x`", "WITH a AS (SELECT * FROM Text.`/etc/hosts`) SELECT * FROM a", "SELECT * FROM range(5)"):
+        with pytest.raises(surface.QueryRefused):
+            surface.guarded(spark, bad)
     with pytest.raises(surface.QueryRefused):
         surface.guarded(spark, "SELECT * FROM numbers", surface.Limits(scan_bytes=1))
     assert surface.guarded(spark, "SELECT * FROM numbers", surface.Limits(rows=2)).count() == 2
