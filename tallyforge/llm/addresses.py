@@ -2,13 +2,14 @@
 
 Rows are parsed into components (house number, direction, street, street type,
 city, postcode, or the number of a post-office box), all as Spark expressions.
-Distinct forms are blocked on postcode and number or on number and street sound,
-and compared component by component with a level for missing values. The levels'
-weights are estimated by expectation-maximisation over all blocked pairs. A pair
-links if its weight says match and no component contradicts: number, direction,
-type, city and postcode may be missing, but not different. Each form then joins
-the best linked form of more authority (more components, more rows), so a form
-with parts missing never ties two complete, contradicting forms together.
+Distinct forms are blocked on number with postcode, with city and an end or the
+sounds of the street, and, where a form lacks city or postcode, with street sound
+alone; they are compared component by component with a level for missing values.
+The levels' weights are estimated by expectation-maximisation over all blocked
+pairs, and a pair links if its weight says match: look-alikes that contradict in
+type, direction, city or postcode come out below. Each form then joins the best
+linked form of more authority (more components, more rows), so a form with parts
+missing never ties two complete, contradicting forms together.
 
 Suites, units and care-of lines are no part of a location. Blank addresses and
 those without a number (`on file`, `test`) have no location and are in no pair.
@@ -16,8 +17,6 @@ Repeated rows pair with each other like any rows of one location."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,34 +131,44 @@ def _near(a: Column, b: Column, edits: int = 2, share: float = 0.25) -> Column:
 
 
 def _block_keys() -> Column:
-    """Five keys a form: postcode or city, and street sound, each with the number,
-    from either end of the name, so that a slip at one end leaves another key.
-    Null keys block nothing."""
-    n, z, s = F.col("number"), F.col("zip"), F.col("street")
+    """Keys of a form: the number with postcode or city and an end of the street's
+    name, so that a slip at one end leaves another key; with the sounds of street and
+    city; and, marked open, with street sound alone. An open key only blocks pairs of
+    which a form lacks city or postcode. Null keys block nothing."""
+    n, z, s, c = F.col("number"), F.col("zip"), F.col("street"), F.col("city")
     with_zip = lambda x: F.when(z != "", F.concat_ws("|", F.col("kind"), z, n, x))
-    c = F.col("city")
+    with_city = lambda *x: F.when(c != "", F.concat_ws("|", *x))
+    none = F.lit(None).cast("string")
     street = (
         with_zip(F.substring(s, 1, 1)),
         with_zip(F.substring(s, -1, 1)),
+        with_city(F.lit("e"), n, c, F.substring(s, 1, 1)),
+        with_city(F.lit("f"), n, F.soundex(c), F.soundex(s)),
+        with_city(F.lit("g"), n, F.soundex(F.reverse(c)), F.soundex(F.reverse(s))),
         F.concat_ws("|", F.lit("a"), n, F.soundex(s)),
         F.concat_ws("|", F.lit("b"), n, F.soundex(F.reverse(s))),
-        F.when(c != "", F.concat_ws("|", F.lit("e"), n, c, F.substring(s, 1, 1))),
     )
-    box = (with_zip(F.lit("")), F.lit(None).cast("string"), F.lit(None).cast("string"), F.when(c != "", F.concat_ws("|", F.lit("c"), n, F.soundex(c))), F.when(c != "", F.concat_ws("|", F.lit("d"), n, F.soundex(F.reverse(c)))))
+    box = (with_zip(F.lit("")), none, none, with_city(F.lit("c"), n, F.soundex(c)), with_city(F.lit("d"), n, F.soundex(F.reverse(c))), none, none)
     return F.array(*[F.xxhash64(k) * F.when(k.isNotNull(), 1) for k in (F.when(F.col("kind") == "box", x).otherwise(y) for x, y in zip(box, street))])
 
 
+#: The first of the open keys.
+OPEN = 5
+
+
 def candidate_pairs(forms: DataFrame) -> DataFrame:
-    """Blocked pairs of forms with their comparison levels, each pair once: from
-    the first of its common keys."""
-    keyed = forms.withColumn("keys", _block_keys())
-    spread = keyed.select("form", *PARTS, "n", "keys", F.posexplode("keys").alias("i", "key")).filter("key IS NOT NULL")
-    a = spread.select(*[F.col(c).alias(f"{c}_a") for c in ("form", *PARTS, "n", "keys")], "i", "key")
-    b = spread.select(*[F.col(c).alias(f"{c}_b") for c in ("form", *PARTS, "n", "keys")], "i", "key")
-    both = a.join(b, ["i", "key"]).filter("form_a < form_b AND kind_a = kind_b AND number_a = number_b")
-    common = F.zip_with("keys_a", "keys_b", lambda x, y: F.coalesce(x == y, F.lit(False)))
-    earlier = F.exists(F.transform(common, lambda e, j: e & (j < F.col("i"))), lambda e: e)
-    both = both.filter(~earlier)
+    """Blocked pairs of forms with their comparison levels, each pair once. Only keys
+    and the numbers of forms are joined in blocks; parts are fetched for pairs alone. A
+    block of many forms is a skewed key, which adaptive execution cuts into tasks."""
+    lacks = (F.col("city") == "") | (F.col("zip") == "")
+    keyed = forms.select("form", lacks.alias("lacks"), F.posexplode(_block_keys()).alias("i", "key")).filter("key IS NOT NULL")
+    a = keyed.filter((F.col("i") < OPEN) | F.col("lacks")).select("i", "key", F.col("form").alias("a"))
+    b = keyed.select("i", "key", F.col("form").alias("b"), F.col("lacks").alias("lacks_b"))
+    # Side a of an open key lacks a part; where both do, the smaller form is side a.
+    ordered = (F.col("a") < F.col("b")) | (F.col("i") >= OPEN) & ~F.col("lacks_b") & (F.col("a") != F.col("b"))
+    pairs = a.join(b, ["i", "key"]).filter(ordered).select(F.least("a", "b").alias("form_a"), F.greatest("a", "b").alias("form_b")).distinct()
+    left, right = (forms.select(*[F.col(c).alias(f"{c}_{side}") for c in ("form", *PARTS, "n")]) for side in "ab")
+    both = pairs.join(left, "form_a").join(right, "form_b").filter("kind_a = kind_b AND number_a = number_b")
 
     def level(name: str, near: bool) -> Column:
         x, y = F.col(f"{name}_a"), F.col(f"{name}_b")
@@ -181,18 +190,17 @@ def _full(side: str) -> Column:
     return sum((F.when(F.col(f"{c}_{side}") != "", 1).otherwise(0) for c in ("dir", "type", "city", "zip")), F.lit(0))
 
 
-#: Bits of evidence for a match, the share of matches among blocked pairs
-#: counted in, from which a pair links.
+#: Bits of evidence for a match from which a pair links.
 THRESHOLD = 0.0
 
 
 def form_roots(forms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(node, root) of forms that are not their own location's first form."""
+    """(node, root) of forms that are not their own location's first form. What links is
+    decided by the estimated weights; of a form's links the one that agrees in more and
+    in rarer values counts."""
     pairs = stored(candidate_pairs(forms), "address-pairs")
-    weights, share = learn(pairs, random_levels(forms))
-    # What contradicts counts in the estimate, but never links.
-    possible = pairs.filter("street_l > 0 AND type_l <> 0 AND dir_l <> 0 AND city_l <> 0 AND zip_l <> 0")
-    linked = possible.withColumn("weight", score(weights) + F.lit(math.log2(share / (1 - share)))).filter(F.col("weight") >= threshold)
+    weights, bits = learn(pairs, random_levels(forms))
+    linked = pairs.filter(score(weights) >= threshold).withColumn("weight", score(bits))
     rank = lambda side: F.struct(F.col(f"full_{side}").alias("full"), F.col(f"n_{side}").alias("n"), F.col(f"form_{side}").alias("form"))
     up = linked.select("weight", F.least(rank("a"), rank("b")).alias("low"), F.greatest(rank("a"), rank("b")).alias("high"))
     best = up.groupBy(F.col("low.form").alias("node")).agg(F.max(F.struct("weight", "high")).alias("best"))
@@ -209,6 +217,14 @@ def locations(df: DataFrame, row: str = "id", address: str = "entity_address", c
     return rows.select(row, "form").join(top, F.col("form") == F.col("node"), "left").select(row, F.coalesce("root", "form").alias("location"))
 
 
+def location_classes(df: DataFrame, row: str = "id", **columns: str) -> DataFrame:
+    """(row, class, rows): each row that has a location with the smallest row of it
+    and how many it has."""
+    found = locations(df, row, **columns)
+    classes = found.groupBy("location").agg(F.min(row).alias("class"), F.count(F.lit(1)).alias("rows"))
+    return found.join(classes, "location").select(row, "class", "rows")
+
+
 def same_location(df: DataFrame, row: str = "id", **columns: str) -> DataFrame:
     """(id_a, id_b): every pair of rows at the same location, id_a < id_b."""
     return row_pairs(locations(df, row, **columns), "location", row)

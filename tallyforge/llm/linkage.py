@@ -18,21 +18,35 @@ from tallyforge.session import cut
 MISSING = -1
 
 
-def em_weights(patterns: Mapping[tuple[int, ...], int], random: Sequence[Mapping[int, float]], rounds: int = 200, start_match: float = 0.3, tolerance: float = 1e-7) -> tuple[list[dict[int, float]], float]:
+#: How rarely, of all matches, a field contradicts (level 0): fixed, as without it the
+#: look-alikes that one field tells apart count as matches with a slip.
+CONTRADICTS = 1e-5
+
+
+def em_weights(patterns: Mapping[tuple[int, ...], int], random: Sequence[Mapping[int, float]], rounds: int = 500, start_match: float = 0.8, tolerance: float = 1e-9, contradicts: float = CONTRADICTS) -> tuple[list[dict[int, float]], float]:
     """(log2 likelihood ratio of each level of each field, share of matches).
 
     patterns: how many blocked pairs show each tuple of levels. random: for each
-    field the probability of each level for two records drawn at random, which is
-    known from value frequencies and stays fixed; what matches show is estimated.
-    MISSING is a level with its own two probabilities, but its weight is 0 at most.
-    Matches are smoothed by half a pair a level, so every weight is finite."""
-    u = [{x: max(v, 1e-9) for x, v in f.items()} for f in random]
+    field the probability of each level for two records drawn at random, by value
+    frequencies; the estimate starts from it. Other pairs of a block agree far more often
+    than random ones, so what they show is estimated too: how often a field contradicts
+    (level 0; of matches this is given). How often a value is missing and how the degrees
+    of agreement are spread are levels of their own with one estimate for both classes:
+    free ones were tried, and split the pairs by what is missing instead of by location.
+    The share of matches is not settled by the pairs of blocks that hardly contradict, so
+    it is no part of the weights. Levels are smoothed by half a pair and stay finite."""
+
+    def bounded(f: Mapping[int, float]) -> dict[int, float]:
+        rest = sum(v for x, v in f.items() if x != 0) or 1.0
+        return {x: contradicts if x == 0 else (1 - contradicts) * v / rest for x, v in f.items()}
+
+    scaled = lambda f: {x: v / sum(f.values()) for x, v in f.items()}
+    u = [scaled({x: max(v, 1e-6) for x, v in f.items()}) for f in random]
     # Before any evidence matches agree: the levels are given from the highest agreement on.
-    m = [{x: 0.6**i for i, x in enumerate(f)} for f in u]
-    m = [{x: v / sum(f.values()) for x, v in f.items()} for f in m]
+    m = [bounded({x: 0.6**i for i, x in enumerate(f)}) for f in u]
     p, total = start_match, sum(patterns.values())
     for _ in range(rounds if total else 0):
-        seen = [{x: 0.5 for x in f} for f in u]
+        alike, other = [{x: 0.5 for x in f} for f in u], [{x: 0.5 for x in f} for f in u]
         matched = 0.0
         for g, n in patterns.items():
             a, b = p, 1 - p
@@ -41,16 +55,21 @@ def em_weights(patterns: Mapping[tuple[int, ...], int], random: Sequence[Mapping
             share = n * a / (a + b) if a + b else 0.0
             matched += share
             for i, x in enumerate(g):
-                seen[i][x] += share
+                alike[i][x] += share
+                other[i][x] += n - share
         new = min(max(matched / total, 1e-6), 1 - 1e-6)
-        m = [{x: v / sum(s.values()) for x, v in s.items()} for s in seen]
+        m, u = [], []
+        for f, g in zip(alike, other):
+            both = {x: f[x] + g[x] for x in f if x != 0}
+            m.append(bounded({x: both.get(x, 0.0) for x in f}))
+            contradict = g[0] / sum(g.values())
+            u.append({x: contradict if x == 0 else (1 - contradict) * both[x] / sum(both.values()) for x in g})
         done = abs(new - p) < tolerance
         p = new
         if done:
             break
     weights = [{x: math.log2(m[i][x] / u[i][x]) for x in f} for i, f in enumerate(u)]
-    # That a part is missing is never evidence for a match.
-    return [{x: min(v, 0.0) if x == MISSING else v for x, v in f.items()} for f in weights], p
+    return weights, p
 
 
 def value_rates(records: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -66,11 +85,18 @@ def value_rates(records: DataFrame, columns: Sequence[str]) -> dict[str, tuple[f
     return {c: (got[c][0] / total, got[c][1] / got[c][0] ** 2 if got[c][0] else 0.0) for c in columns}
 
 
-def learn(pairs: DataFrame, random: Mapping[str, Mapping[int, float]]) -> tuple[dict[str, dict[int, float]], float]:
-    """em_weights over all pairs. random: comparison column to its levels' chances."""
+def learn(pairs: DataFrame, random: Mapping[str, Mapping[int, float]]) -> tuple[dict[str, dict[int, float]], dict[str, dict[int, float]]]:
+    """(weights, bits) over all pairs: em_weights, and how much more often a level is
+    seen than in records drawn at random, which ranks links. random: comparison column
+    to its levels' chances."""
     counted = pairs.groupBy(*random).agg(F.count(F.lit(1)).alias("n")).collect()  # at most the product of the level numbers
-    weights, share = em_weights({tuple(r[f] for f in random): r["n"] for r in counted}, list(random.values()))
-    return dict(zip(random, weights)), share
+    weights, _ = em_weights({tuple(r[f] for f in random): r["n"] for r in counted}, list(random.values()))
+    bits = {}
+    for f, chances in random.items():
+        seen = {x: 0.5 + sum(r["n"] for r in counted if r[f] == x) for x in chances}
+        bits[f] = {x: math.log2(v / sum(seen.values()) / max(chances[x], 1e-9)) for x, v in seen.items()}
+        bits[f] = {x: min(v, 0.0) if x == MISSING else v for x, v in bits[f].items()}  # a missing part is no evidence
+    return dict(zip(random, weights)), bits
 
 
 def score(weights: Mapping[str, Mapping[int, float]]) -> Column:

@@ -17,6 +17,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addresses.same_location(_read(spark, sf_dir, "transactions"))
 
 
+def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with a location, its location's first row and number of rows."""
+    return addresses.location_classes(_read(spark, sf_dir, "transactions"))
+
+
 #: The fields a filing's survivor is filled in for.
 FILING_FIELDS = ["committee_name", "candidate_name", "election_cycle"]
 
@@ -69,6 +74,11 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.same_names(_read(spark, sf_dir, "fact_transaction"))
 
 
+def p7_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name with its class and the number of the class's spellings."""
+    return names.name_classes(_read(spark, sf_dir, "fact_transaction"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(_read(spark, sf_dir, "documents"))
 
@@ -115,10 +125,12 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p1_classes": p1_classes,
     "p4_found": p4_found,
     "p4_current": p4_current,
     "p6_found": p6_found,
     "p7_found": p7_found,
+    "p7_classes": p7_classes,
     "p8_ids": p8_ids,
     "p8_counts": p8_counts,
     "p9_mixture": p9_mixture,

@@ -83,12 +83,24 @@ def test_roots(spark):
     assert got == {**{i: 20 for i in range(20)}, 100: 101}
 
 
-def test_em_finds_the_two_classes():
-    patterns = {(1, 1): 900, (1, 0): 60, (0, 1): 50, (0, 0): 3000, (1, linkage.MISSING): 100, (0, linkage.MISSING): 300}
-    random = [{1: 0.01, 0: 0.99}, {1: 0.01, linkage.MISSING: 0.1, 0: 0.89}]
-    weights, share = linkage.em_weights(patterns, random)
-    assert all(w[1] > 3 and w[0] < 0 for w in weights) and 0.15 < share < 0.4
-    assert linkage.em_weights({}, random)[1] == 0.3
+def test_em_without_pairs():
+    weights, share = linkage.em_weights({}, [{1: 0.01, 0: 0.99}])
+    assert share == 0.8 and weights[0][1] > 0 > weights[0][0]
+
+
+def test_em_sets_look_alikes_apart():
+    # Look-alikes agree in all but one field, far more than records drawn at random.
+    patterns = {(3, 1, 1): 9000, (3, 0, 1): 700, (3, 1, 0): 600, (2, 1, 1): 500, (3, 1, linkage.MISSING): 900}
+    random = [{3: 0.01, 2: 0.01, 0: 0.98}, {1: 0.1, 0: 0.9}, {1: 0.1, linkage.MISSING: 0.1, 0: 0.8}]
+    weights, _ = linkage.em_weights(patterns, random)
+    for g in patterns:
+        assert (sum(w[x] for w, x in zip(weights, g)) >= 0) == (0 not in g), g
+
+
+def test_classes(spark):
+    rows = [("12 Oakfield St", "Larkmoor", "22001"), ("12 OAKFIELD STREET", "Larkmoor", ""), ("9 Oakfield St", "Larkmoor", "22001"), ("on file", "", ""), ("12 Oakfield", "", "22001")]
+    got = {tuple(r) for r in A.location_classes(table(spark, rows)).collect()}
+    assert got == {(0, 0, 3), (1, 0, 3), (2, 2, 1), (4, 0, 3)}
 
 
 def test_contradicting_pairs_count_in_the_estimate_but_never_link(spark, monkeypatch):
