@@ -45,13 +45,15 @@ def p3_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = drift.json_table_changes(spark.read.parquet(f"{sf_dir}/schedule_h.parquet"), "schedule_h", drift.SCHEDULE_H)
+    h = drift.json_table_changes(spark.read.parquet(f"{sf_dir}/schedule_h.parquet"), "schedule_h", drift.SCHEDULE_H, least=0.0)
     c = drift.column_table_changes(spark.read.parquet(f"{sf_dir}/campaign_finance.parquet"), "campaign_finance")
     return h.unionByName(c)
 
 
 def p5_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.unified(spark.read.parquet(f"{sf_dir}/schedule_h.parquet"), drift.SCHEDULE_H)
+    """One table of all records; `unmatched` (keys without a field) as JSON text."""
+    df = drift.unified(spark.read.parquet(f"{sf_dir}/schedule_h.parquet"), drift.SCHEDULE_H, least=0.0)
+    return df.withColumn("unmatched", F.to_json("unmatched"))
 
 
 #: SQL of the rejects: the same grammar without possessive quantifiers.

@@ -2,7 +2,8 @@
 canonical field, cast and union, and report each change from folder to folder.
 
 Matching is similarity flooding. Two graphs are built, one of the observed keys
-and one of the canonical fields, each with name, token, type and nesting edges.
+and one of the canonical fields, each with name, token and type edges, and nesting
+edges where the caller gives parents; keys are those of the outermost object.
 Match scores start from name similarity, flow along equal edge labels of the
 pairwise graph until they converge, and one-to-one correspondences are taken per
 folder. Only schema metadata (distinct keys with their types and folders) reaches
@@ -53,6 +54,8 @@ SCHEDULE_H = (
 )
 
 EPSILON, ROUNDS, LEAST = 1e-4, 200, 0.2
+#: Rows of a profile (folder, key and type) that are taken as metadata; more raise.
+MOST_KEYS = 200_000
 
 
 def words(name: str) -> list[str]:
@@ -136,21 +139,21 @@ def flood(keys: dict[str, str], fields: Iterable[Canonical], parents: dict[str,
 
 def select(keys: set[str], scores: dict[tuple[str, str], float], exact: dict[str, str], fields: Iterable[Canonical]) -> dict[str, str]:
     """key -> field: `exact` first, then pairs by falling score, taken while both
-    sides are free and the score is at least LEAST of the best."""
+    sides are free. Pairs without a score are taken only if exact."""
     out: dict[str, str] = {}
-    ranked = sorted(((exact.get(k) == f.name, scores[k, f.name], k, f.name) for k in keys for f in fields), key=lambda x: (-x[0], -x[1], x[2], x[3]))
+    ranked = sorted(((exact.get(k) == f.name, scores.get((k, f.name), -1.0), k, f.name) for k in keys for f in fields), key=lambda x: (-x[0], -x[1], x[2], x[3]))
     for given, score, k, f in ranked:
-        if k not in out and f not in out.values() and (given or score >= LEAST):
+        if k not in out and f not in out.values() and (given or score >= 0):
             out[k] = f
     return out
 
 
-def correspond(folders: dict[str, set[str]], kinds: dict[str, str], fields: Iterable[Canonical]) -> dict[tuple[str, str], str]:
-    """(folder, key) -> field: in each folder as flooded scores select. Exact
+def correspond(folders: dict[str, set[str]], kinds: dict[str, str], fields: Iterable[Canonical], least: float = LEAST) -> dict[tuple[str, str], str]:
+    """(folder, key) -> field: in each folder as flooded scores from `least` on select. Exact
     phrases are the check afterwards: only a folder in which a key's own phrase
     names another field is selected anew with these keys first."""
     fields = list(fields)
-    scores = flood(kinds, fields)
+    scores = {p: v for p, v in flood(kinds, fields).items() if v >= least}
     named = {k: max((_name_score(k, p), f.name) for f in fields for p in (f.name, *f.phrases)) for k in kinds}
     exact = {k: f for k, (score, f) in named.items() if score == 1.0}
     out: dict[tuple[str, str], str] = {}
@@ -187,11 +190,14 @@ def profile(df: DataFrame, record: str = "record", folder: str = "folder_name")
     return rows.filter("folder IS NOT NULL").groupBy("folder", "key", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-def correspondences(counts: DataFrame, fields: Iterable[Canonical]) -> DataFrame:
+def correspondences(counts: DataFrame, fields: Iterable[Canonical], least: float = LEAST) -> DataFrame:
     """(folder, key, field, kind): counts is a profile. kind is that of most
-    non-null values, null when there are none; of equal counts the first by name."""
+    non-null values, null when there are none; of equal counts the first by name.
+    least: 0 where every key is known to stand for some field."""
     spark = counts.sparkSession
-    rows = counts.collect()  # distinct keys of each folder: metadata, whatever the number of records
+    rows = counts.limit(MOST_KEYS + 1).collect()  # keys of each folder with their types: metadata, whatever the number of records
+    if len(rows) > MOST_KEYS:
+        raise ValueError(f"more than {MOST_KEYS} keys by folder and type: the keys of these records are data, not a schema")
     by_key: dict[tuple[str, str], dict[str, int]] = defaultdict(dict)
     overall: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
     folders: dict[str, set[str]] = defaultdict(set)
@@ -202,7 +208,7 @@ def correspondences(counts: DataFrame, fields: Iterable[Canonical]) -> DataFrame
             overall[r["key"]][r["kind"]] += r["n"]
     most = lambda c: min(c, key=lambda k: (-c[k], k)) if c else None
     kinds = {k: most(overall.get(k, {})) or "null" for keys in folders.values() for k in keys}
-    chosen = correspond(folders, kinds, fields)
+    chosen = correspond(folders, kinds, fields, least)
     out = [(f, k, chosen.get((f, k)), most(by_key.get((f, k), {}))) for f, keys in sorted(folders.items()) for k in sorted(keys)]
     return spark.createDataFrame(out, "folder string, key string, field string, kind string")
 
@@ -229,9 +235,9 @@ def changes(present: DataFrame, table: str, folders: DataFrame) -> DataFrame:
     return grid.select(F.lit(table).alias("table_name"), F.col("folder").alias("folder_name"), "field", F.explode(found).alias("change"))
 
 
-def json_table_changes(df: DataFrame, table: str, fields: Iterable[Canonical], record: str = "record", folder: str = "folder_name") -> DataFrame:
+def json_table_changes(df: DataFrame, table: str, fields: Iterable[Canonical], record: str = "record", folder: str = "folder_name", least: float = LEAST) -> DataFrame:
     """Changes of a table of JSON records."""
-    matched = correspondences(profile(df, record, folder), fields)
+    matched = correspondences(profile(df, record, folder), fields, least)
     return changes(matched.filter("field IS NOT NULL"), table, matched.select("folder").distinct())
 
 
@@ -247,7 +253,7 @@ def column_table_changes(df: DataFrame, table: str, folder: str = "folder_name")
     return changes(present, table, seen.select(F.col("__folder").alias("folder")))
 
 
-def unified(df: DataFrame, fields: Iterable[Canonical], record: str = "record", folder: str = "folder_name", keep: tuple[str, ...] = ("row_id",)) -> DataFrame:
+def unified(df: DataFrame, fields: Iterable[Canonical], record: str = "record", folder: str = "folder_name", keep: tuple[str, ...] = ("row_id",), least: float = LEAST) -> DataFrame:
     """(keep..., folder_name, the canonical fields): all records as one table.
 
     Numbers written as text, with thousands commas, `$` or accounting
@@ -255,7 +261,7 @@ def unified(df: DataFrame, fields: Iterable[Canonical], record: str = "record",
     correspond to no field, and all of a record whose folder has no year, are kept as
     they are in `unmatched`, a map of key to text; null where there are none."""
     fields = list(fields)
-    matched = correspondences(profile(df, record, folder), fields).filter("field IS NOT NULL")
+    matched = correspondences(profile(df, record, folder), fields, least).filter("field IS NOT NULL")
     by_folder = matched.groupBy("folder").agg(F.map_from_entries(F.collect_list(F.struct("field", "key"))).alias("__keys"))
     rows = df.select(*keep, folder_key(F.col(folder)).alias("folder"), F.from_json(F.col(record), "map<string,string>").alias("__r"))
     rows = rows.join(F.broadcast(by_folder), "folder", "left")  # one row per folder

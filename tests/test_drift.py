@@ -83,3 +83,23 @@ def test_unified_keeps_what_it_cannot_place(spark):
     df = drift.unified(spark.createDataFrame(rows, "row_id long, folder_name string, record string"), drift.SCHEDULE_H)
     got = {r.row_id: (r.folder_name, r.report_id, r.unmatched) for r in df.collect()}
     assert got == {1: ("2012_01", 1, {"Zzyzx Qwv": "kept"}), 2: (None, None, {"ReportId": "2"}), 3: ("2012_01", 3, None)}
+
+
+def test_spellings_that_no_phrase_shows(spark):
+    known = {"report_id": "ReportId", "committee_code": "CommitteeCode", "committee_name": "CommitteeName", "candidate_name": "CandidateName", "report_year": "ReportYear", "report_date": "FilingDate", "due_date": "DueDate", "amendment_count": "AmendmentCount", "party": "Party", "office_sought": "OfficeSought", "district": "District", "starting_balance": "BeginningBalance", "total_disbursements": "TotalDisbursements", "ending_balance": "EndingBalance", "line_19": "ExpendableFundsBalance"}
+    kind = {f.name: f.kind for f in drift.SCHEDULE_H}
+    odd = {"report_date": ("Rpt Date", "Filed On"), "due_date": ("Deadline", "Due Dt"), "starting_balance": ("OpeningBalance", "Start Bal"), "ending_balance": ("ClosingBalance", "EndBal"), "party": ("Praty",), "district": ("Dist", "SubCode"), "committee_code": ("Cmte Code",), "total_disbursements": ("DisbTotal", "Total Spent"), "line_19": ("LINE_19", "Line No 19")}
+    for field, names in odd.items():
+        for name in names:
+            folders = {"2012_01": {name if f == field else k for f, k in known.items()}}
+            kinds = {**{k: kind[f] for f, k in known.items()}, name: kind[field]}
+            assert drift.correspond(folders, kinds, drift.SCHEDULE_H, least=0.0)["2012_01", name] == field
+
+
+def test_keys_that_are_data_raise(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(drift, "MOST_KEYS", 3)
+    df = spark.range(5).selectExpr("id AS row_id", "'2012_01' AS folder_name", "concat('{\"k', id, '\": 1}') AS record")
+    with pytest.raises(ValueError):
+        drift.unified(df, drift.SCHEDULE_H)
