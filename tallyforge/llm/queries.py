@@ -42,12 +42,12 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As p4_found, but a record without amendment number has the number in force on
     its report date, and records without readable report date are placed among the
-    others (of their number, if they have one) by the precedence of election cycles
+    others (of their number, if they have one) by the precedence of committee names
     learnt from timestamped records."""
     df = _filings(spark, sf_dir)
-    steps = currency.transitions(df, ["code", "due_day"], "reported", "election_cycle", "report_row_id")
-    level = currency.levels(currency.precedence(steps)).select(F.col("value").alias("election_cycle"), "level")
-    df = df.join(level, "election_cycle", "left")
+    steps = currency.transitions(df, ["code", "due_day"], "reported", "committee_name", "report_row_id")
+    level = currency.levels(currency.precedence(steps)).select(F.col("value").alias("committee_name"), "level")
+    df = df.join(level, "committee_name", "left")
     df = currency.in_force(df, ["code", "due_day"], "amendment_count", "reported", "number")
     declared = [F.col("number"), F.col("reported")]
     best = currency.survivors(df, ["code", "due_day"], declared, FILING_FIELDS, "report_row_id", learnt=F.col("level"))
