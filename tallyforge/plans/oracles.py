@@ -125,3 +125,4 @@ LOADED_A = _loaded("schedulea", SCHEDULE_A, 22, f"regexp_full_match(x, '{problem
 LOADED_R = _loaded("report", REPORT, 39, "trim(x) = '' OR (regexp_matches(x, '\\p{L}') AND NOT regexp_matches(x, '[\\p{Cc}\ufffd]'))", 5)
 problems.ORACLE["p3_loaded"], problems.ORACLE["p3_loaded_report"] = LOADED_A, LOADED_R
 problems.ORACLE["p3_audit"] = f"""SELECT source_table, reason, count(*) AS records FROM ({problems.P3_SQL}) GROUP BY 1, 2 UNION ALL SELECT 'schedulea', 'loaded', count(*) FROM ({LOADED_A}) UNION ALL SELECT 'report', 'loaded', count(*) FROM ({LOADED_R})"""
+problems.ORACLE["p5_unified"] = balances_sql(lambda c: "NULL::DATE") + f"SELECT row_id, folder_name, {', '.join(_FIELDS)}, NULL::VARCHAR AS unmatched FROM unified"

@@ -197,6 +197,17 @@ def balance_continuity(spark: SparkSession, d: str) -> DataFrame:
     return rounded(df.select("row_id", "committee_code", "due_day", "previous_due_date", "starting_balance", "previous_ending_balance", "discrepancy"), "discrepancy")
 
 
+@query(oracles.balances_sql(date_sql) + f""", b AS (SELECT *, {date_sql("report_date")} AS report_day, CAST(date_trunc('week', due_day) AS DATE) AS week FROM s WHERE starting_balance IS NOT NULL AND ending_balance IS NOT NULL),
+  p AS (SELECT *, lag(ending_balance) OVER x AS previous_ending_balance, lag(line_19) OVER x AS previous_line_19, row_number() OVER x AS sequence FROM b WINDOW x AS (PARTITION BY committee_code ORDER BY week, due_day, report_day NULLS FIRST, report_year NULLS FIRST, row_id))
+  SELECT row_id, committee_code, week, previous_line_19, round(starting_balance - previous_ending_balance, 2) AS discrepancy FROM p WHERE sequence > 1 AND abs(starting_balance - previous_ending_balance) > 0.01""")
+def balance_continuity_weeks(spark: SparkSession, d: str) -> DataFrame:
+    """As balance_continuity in the order of weeks, with line 19 of the report before."""
+    df = gold.fact_report_summary(_balances(spark, d)).withColumn("report_day", parse_date(F.col("report_date"))).withColumn("week", week_start(F.col("due_day")))
+    order = [F.col("week"), F.col("due_day"), F.col("report_day").asc_nulls_first(), F.col("report_year").asc_nulls_first(), F.col("row_id")]
+    out = L.continuity_failures(df, ["committee_code"], order, "starting_balance", "ending_balance", ["line_19"])
+    return rounded(out.select("row_id", "committee_code", "week", "previous_line_19", "discrepancy"), "discrepancy")
+
+
 @query()
 def suspicious_balances(spark: SparkSession, d: str) -> DataFrame:
     df = gold.suspicious_balances(gold.fact_report_summary(_balances(spark, d)))

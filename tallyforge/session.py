@@ -44,6 +44,20 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or sc.getCheckpointDir()
 
 
+#: Stored tables of this process that are not cleared yet.
+_written: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the tables `stored` has written, once no frame that reads them is needed
+    any more; how many there were."""
+    count = len(_written)
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -60,6 +74,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     with statistics, readable after the loss of any executor."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -14,15 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tallyforge.session import cut
+
 
 def landing(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
     """A file-source stream over a folder."""
     return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch).load(path)
 
 
-def merge_batch(path: str, keys: Sequence[str], latest: Callable[[DataFrame], DataFrame], buckets: int = 32) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: rewrite the hash buckets whose keys a batch touches. A
-    repeated batch gives the same table, so a restart does no harm."""
+def merge_batch(path: str, keys: Sequence[str], latest: Callable[[DataFrame], DataFrame], buckets: int = 256) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: rewrite the hash buckets whose keys a batch touches, of as many
+    as the table's size needs. A repeated batch gives the same table, so a restart does
+    no harm; while buckets are replaced, a reader may see old ones beside new ones."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -37,7 +40,7 @@ def merge_batch(path: str, keys: Sequence[str], latest: Callable[[DataFrame], Da
                 raise
             old = new.limit(0)
         # The old files are read to the end before they are replaced.
-        merged = latest(old.unionByName(new)).checkpoint()
+        merged = cut(latest(old.unionByName(new)))
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("__bucket").parquet(path)
 
     return run

@@ -93,3 +93,30 @@ def test_range_lookup_gives_each_row_once_whatever_the_size_of_the_periods(spark
 def test_lookup_tables_are_measured_before_they_are_broadcast(spark):
     wide = spark.range(10).select(F.array_repeat("id", 100).alias("a"))
     assert M.fits(wide) and not M.fits(wide, 1000) and M.fits(wide.limit(0), 0)
+
+
+def test_exact_median(spark):
+    import statistics
+
+    for values in ([], [None], [5.0], [1.0, 2.0], [3.0] * 50 + [9.0], [float(i * 7 % 101) for i in range(400)], [1.0, 1.0, 2.0, 2.0]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        known = [v for v in values if v is not None]
+        for ranges in (3, 1000):
+            assert [r.median for r in A.exact_median(df, "v", ranges).collect()] == [statistics.median(known) if known else None]
+
+
+def test_scratch_is_cleared_and_a_shared_folder_is_asked_for(spark):
+    import types
+
+    from tallyforge import session
+
+    kept = session.stored(spark.range(3), "kept")
+    path = session._written[-1]
+    assert kept.count() == 3 and session.clear_scratch(spark) >= 1 and not session._written
+    import os
+
+    assert not os.path.exists(path.removeprefix("file:"))
+    conf = types.SimpleNamespace(get=lambda *_: None)
+    far = types.SimpleNamespace(sparkContext=types.SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        session.shared_dir(far)
