@@ -35,6 +35,9 @@ from tallyforge.session import stored
 #: Documents of a source that a task sums over, about.
 BUCKET_ROWS = 20_000
 
+#: Uses of documents in a partition of the sorted mixture, about.
+PART_ROWS = 50_000
+
 Knots = Sequence[tuple[float, float]]
 #: Weights by time unless a schedule is given: level throughout.
 LEVEL: Knots = ((0.0, 1.0), (1.0, 1.0))
@@ -149,5 +152,5 @@ def mixture(documents: DataFrame, targets: DataFrame, row: str = "doc_id", total
     shares = info.select("source", "target_share", "max_repeats", F.col("size").alias("available_tokens")).join(used, "source", "left").join(F.broadcast(all_tokens), F.lit(True), "left")
     shares = shares.fillna(0, ["documents_used", "tokens"])
     shares = shares.withColumn("actual_share", F.coalesce(F.col("tokens") / F.col("all_tokens"), F.lit(0.0))).drop("all_tokens")
-    parts = max(1, spark.sparkContext.defaultParallelism)
+    parts = max(1, -(-places.count() // PART_ROWS))  # of rows, not of cores, so that a task's share does not grow
     return places.repartitionByRange(parts, "position", row, "round").sortWithinPartitions("position", row, "round"), shares
