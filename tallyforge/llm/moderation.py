@@ -74,10 +74,11 @@ def clean(text: str | None) -> str:
 @dataclass
 class Vocabulary:
     """What the labelled documents' words are used for: `telling` words with how much
-    more often they occur in positive documents, and `known` ones, seen in lower case."""
+    more often they occur in positive documents, those seen in `lower` case, and both."""
 
     telling: dict[str, float] = field(default_factory=dict)
     known: frozenset[str] = frozenset()
+    lower: frozenset[str] = frozenset()
     by_length: dict[int, list[str]] = field(default_factory=dict)
 
     @classmethod
@@ -89,7 +90,8 @@ class Vocabulary:
         ranked: dict[int, list[str]] = defaultdict(list)
         for w in sorted(share, key=lambda w: (-telling.get(w, 0.0), -share[w], w)):
             ranked[len(w)].append(w)
-        return cls(telling, frozenset(lower) | frozenset(telling), dict(ranked))
+        seen = frozenset(lower)
+        return cls(telling, seen | frozenset(telling), seen, dict(ranked))
 
     def unmask(self, token: str) -> str:
         pattern = re.compile("".join("[a-z]" if c in "*#" else re.escape(c) for c in token))
@@ -160,12 +162,12 @@ class Reader:
     def clear(self) -> None:
         self.codes: dict[str, int] = {}
         self.many: list[int] = []  # items of each token
-        self.items: list[tuple[int, bool, bool, int]] = []  # kind, capitalised, name wherever it stands, hash
+        self.items: list[tuple[int, bool, int, int]] = []  # kind, capitalised, name wherever it stands (2: but at a start), hash
         self.plain: list[str] = []  # the word of each item
         self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 4), np.int64)
 
     def _item(self, kind: int, word: str = "", capital: bool = False) -> None:
-        never = capital and bool(self.words.known) and word not in self.words.known
+        never = (2 if word in self.words.telling else 1) if capital and self.words.known and word not in self.words.lower else 0
         self.items.append((kind, capital, never, zlib.crc32(word.encode("utf-8", "replace"))))
         self.plain.append(word)
 
@@ -181,7 +183,7 @@ class Reader:
                 found = undisguised(part, self.words)
                 titled = part[0].isupper() and (part[1:].islower() or len(part) == 1) and part != "I"
                 for w in found:
-                    self._item(WORD, w, titled and w not in self.words.telling)
+                    self._item(WORD, w, titled and not (w in self.words.telling and w in self.words.lower))
             if token[-1] in ".!?;":
                 self._item(SEGMENT)
         self.many.append(len(self.items) - before)
@@ -219,7 +221,8 @@ class Reader:
     def read(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash of each word, its segment, document of each segment with words). Capitalised
         words that do not merely begin a segment, and those never seen in lower case
-        in a labelled document, are all NAME unless they are telling."""
+        in a labelled document, are all NAME; telling ones only if they are never seen in
+        lower case and begin no segment."""
         at, segment, document = self.items_of(texts)
         items = self.flat[2][at]
         capital = items[:, 1] == 1
@@ -227,8 +230,9 @@ class Reader:
         behind, before = np.append(False, same)[: len(at)], np.append(same & capital[1:], False)[: len(at)]
         after = np.append(False, capital[:-1] & same)[: len(at)]
         # A capitalised word between others in lower case, seen in lower case too, starts a sentence.
-        fresh = behind & capital & (items[:, 2] == 0) & ~before & ~after
-        name = (items[:, 2] == 1) | (capital & (behind | before) & ~fresh)
+        never = items[:, 2]
+        fresh = behind & capital & (never == 0) & ~before & ~after
+        name = (never == 1) | (never == 2) & behind | (capital & (behind | before) & ~fresh & (never != 2))
         start = np.append(True, ~same)[: len(at)] | fresh
         return np.where(name, _NAME, items[:, 3]), np.cumsum(start) - 1, document[segment[start]]
 
@@ -247,7 +251,7 @@ GRAMS = ((0,), (0, 1), (0, 1, 2), (0, 2), (0, 3))
 
 
 def slots(h: np.ndarray, segment: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(segment, slot) of all features of a kind, kind by kind."""
+    """(place of the first word, slot) of all features of a kind, kind by kind."""
     for kind, gram in enumerate(GRAMS):
         n = len(h) - gram[-1]
         if n <= 0:
@@ -257,7 +261,7 @@ def slots(h: np.ndarray, segment: np.ndarray) -> Iterator[tuple[np.ndarray, np.n
             x += h[i : i + n] * m
         x = (x ^ (x >> 17) ^ (x >> 31)) & MASK
         inside = segment[:n] == segment[gram[-1] :]
-        yield segment[:n][inside], x[inside]
+        yield np.flatnonzero(inside), x[inside]
 
 
 @dataclass
@@ -270,6 +274,9 @@ class Model:
     words: Vocabulary
 
 
+#: Words of the stretches a longer segment is scored by as well as whole: text that
+#: runs on without the signs a segment ends with does not hide what is in it.
+WINDOW = 12
 #: Characters of texts that are taken together, about.
 CHUNK = 2_000_000
 
@@ -284,11 +291,16 @@ class Scorer:
 
     def _some(self, texts: Sequence[str | None]) -> np.ndarray:
         h, segment, document = self.reader.read(texts)
-        total = np.zeros(len(document))
-        for at, slot in slots(h, segment):
-            total += np.bincount(at, self.dense[slot], len(document))
+        sums = np.zeros(len(h) + 1)
+        for place, slot in slots(h, segment):
+            sums[1:] += np.bincount(place, self.dense[slot], len(h))
+        np.cumsum(sums, out=sums)
+        first = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])[: len(h)])
+        until = np.append(first[1:], len(h))
+        inner = np.flatnonzero(np.arange(len(h)) + WINDOW < until[segment])
         out = np.full(len(texts), -np.inf)
-        np.maximum.at(out, document, total + self.bias)
+        np.maximum.at(out, document, sums[until] - sums[first] + self.bias)
+        np.maximum.at(out, document[segment[inner]], sums[inner + WINDOW] - sums[inner] + self.bias)
         return out
 
     def scores(self, texts: Sequence[str | None]) -> np.ndarray:
@@ -400,7 +412,7 @@ def fit(labelled: Iterable[tuple[str | None, float]], epochs: int = 3, seed: int
     h, segment, document = Reader(words).read(texts)
     if not len(h):
         return None
-    at, slot = (np.concatenate(x) for x in zip(*slots(h, segment)))
+    at, slot = (np.concatenate(x) for x in zip(*((segment[place], slot) for place, slot in slots(h, segment))))
     # Features that enough documents have, as numbers without gaps; the bias is the last.
     seen = np.bincount(_distinct(document[at] << BITS | slot) & MASK, minlength=MASK + 1)
     usual = np.flatnonzero(seen >= LEAST_DOCUMENTS)
