@@ -12,7 +12,8 @@ the minority, which re-enters blocking as well.
 Any two names that match share a block key (see `block_keys`): a surname with three
 letters of the given name, a surname with a letter deleted with the full given name,
 or a context value with an end of the surname and one of the given name. There is no
-cap on candidates. A slip in a surname of three or four letters links only with the same
+cap on candidates, nor on context: a profile with many values keeps the rest of them in
+`pages`, which give block keys and are looked through like the first. A slip in a surname of three or four letters links only with the same
 given name and agreeing context, two slips only with agreeing context and one end of
 the surname the same; surnames of two letters must be the same.
 
@@ -299,14 +300,24 @@ def block_keys(kind: str, style: str, suffix: str, readings: Sequence[str], cont
             head, inits = words[0], {w[0] for w in words[1:2]} or {""}
             deleted = {head} | _shortened_once(head) if len(head) >= 5 else {head}
             out |= {f"{base}{i}|{d}" for i in inits for d in deleted}
-            out |= {f"{base}@{c}|{head[:2]}" for c in context}
         elif g:
             full = {g, *_FULL.get(g, ())}
             out |= {f"{base}{s}|{k}" for k in _given_keys(g)}
             if len(g) > 1 and len(s) > 2:
                 out |= {f"{base}-{d}|{f}" for d in {s} | _shortened_once(s) for f in full}
-            out |= {f"{base}@{c}|{e}|{i}" for c in context for e in (s[:2], "-" + s[-2:]) for i in {f[0] for f in full} | {"-" + f[-1] for f in full if len(f) > 1}}
-    return out
+    return out | context_keys(kind, style, suffix, readings, context)
+
+
+def context_keys(kind: str, style: str, suffix: str, readings: Sequence[str], context: Sequence[str]) -> set[str]:
+    """The block keys that context values give."""
+    ends = set()
+    for s, g, _ in _readings(tuple(readings)):
+        if style in ("org", "pac"):
+            ends.add(s.split()[0][:2])
+        elif g:
+            full = {g, *_FULL.get(g, ())}
+            ends |= {f"{e}|{i}" for e in (s[:2], "-" + s[-2:]) for i in {f[0] for f in full} | {"-" + f[-1] for f in full if len(f) > 1}}
+    return {f"{kind}|{style}|{suffix}|@{c}|{e}" for c in context for e in ends}
 
 
 PROFILE = "id bigint, kind string, style string, suffix string, readings array<string>, context array<string>, spread boolean, n bigint"
@@ -340,8 +351,8 @@ def profiles(names: DataFrame) -> DataFrame:
 def _keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for df in batches:
         ids, fresh, keys = [], [], []
-        for i, kind, style, suffix, readings, context, new in zip(df["id"], df["kind"], df["style"], df["suffix"], df["readings"], df["context"], df["fresh"]):
-            found = sorted(block_keys(kind, style, suffix, list(readings), list(context)))
+        for i, kind, style, suffix, readings, context, new, page in zip(df["id"], df["kind"], df["style"], df["suffix"], df["readings"], df["context"], df["fresh"], df["page"]):
+            found = sorted((context_keys if page else block_keys)(kind, style, suffix, list(readings), list(context)))
             ids += [i] * len(found)
             fresh += [new] * len(found)
             keys += found
@@ -351,42 +362,75 @@ def _keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _matched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for df in batches:
         strength = []
-        for kind, style, ra, rb, ca, cb, spread in zip(df["kind"], df["style"], df["readings_a"], df["readings_b"], df["context_a"], df["context_b"], df["spread"]):
-            context = 1 if not set(ca).isdisjoint(cb) else 0 if spread or not len(ca) or not len(cb) else -1
+        for kind, style, ra, rb, context in zip(df["kind"], df["style"], df["readings_a"], df["readings_b"], df["context"]):
             strength.append(match(kind, style, tuple(ra), tuple(rb), context))
         out = df[["a", "b", "n_a", "n_b"]].assign(strength=strength)
         yield out[out["strength"] > 0]
 
 
-def matches(now: DataFrame) -> DataFrame:
+def _agreeing(both: DataFrame, now: DataFrame, pages: DataFrame) -> DataFrame:
+    """(a, b) of the pairs that share a context value which stands on a page of one
+    of them. The values of the side without pages, which are few, are looked up in
+    the other's; joins spread all values over tasks, and no task holds a profile's."""
+    own = now.filter("more").select("id", F.explode("context").alias("v"))
+    values = cut(own.union(pages.select("id", F.explode("context").alias("v"))).distinct())
+    open_ = both.filter((F.col("more_a") | F.col("more_b")) & ~F.arrays_overlap("context_a", "context_b"))
+    one = open_.filter("NOT (more_a AND more_b)").select("a", "b", F.when(F.col("more_a"), F.col("a")).otherwise(F.col("b")).alias("id"), F.explode(F.when(F.col("more_a"), F.col("context_b")).otherwise(F.col("context_a"))).alias("v"))
+    two = open_.filter("more_a AND more_b").select("a", "b").join(values.withColumnRenamed("id", "a"), "a").select("a", "b", F.col("b").alias("id"), "v")
+    return one.union(two).join(values, ["id", "v"], "left_semi").select("a", "b").distinct()
+
+
+def matches(now: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """(a, b, n_a, n_b, strength) of matching profiles of which at least one is new or set back.
+    pages: (id, context) of further context values of profiles.
 
     A block is of names so alike that most of it matches. One that is large all the
     same is a skewed key of a join, which adaptive execution cuts into several tasks."""
-    keyed = now.select("id", "kind", "style", "suffix", "readings", "context", "fresh").mapInPandas(_keyed, "id bigint, fresh boolean, key string").select("id", "fresh", F.xxhash64("key").alias("key"))
+    parts = now.select("id", "kind", "style", "suffix", "readings", "context", "fresh", F.lit(False).alias("page"))
+    if pages is not None:
+        parts = parts.unionByName(parts.drop("context", "page").join(pages, "id").withColumn("page", F.lit(True)))
+    keyed = parts.mapInPandas(_keyed, "id bigint, fresh boolean, key string").select("id", "fresh", F.xxhash64("key").alias("key"))
     x, y = (keyed.select(F.col("id").alias(i), F.col("fresh").alias(f"f{i}"), "key") for i in "ab")
     pairs = x.join(y, "key").filter("a < b AND (fa OR fb)").select("a", "b").distinct()
-    left = now.select(F.col("id").alias("a"), "kind", "style", F.col("readings").alias("readings_a"), F.col("context").alias("context_a"), F.col("spread").alias("sa"), F.col("n").alias("n_a"))
-    right = now.select(F.col("id").alias("b"), F.col("readings").alias("readings_b"), F.col("context").alias("context_b"), F.col("spread").alias("sb"), F.col("n").alias("n_b"))
+    more = F.lit(False)
+    if pages is not None:
+        now, more = cut(now.join(pages.select("id").distinct().withColumn("more", F.lit(True)), "id", "left").fillna(False, ["more"])), F.col("more")
+    left = now.select(F.col("id").alias("a"), "kind", "style", F.col("readings").alias("readings_a"), F.col("context").alias("context_a"), F.col("spread").alias("sa"), F.col("n").alias("n_a"), more.alias("more_a"))
+    right = now.select(F.col("id").alias("b"), F.col("readings").alias("readings_b"), F.col("context").alias("context_b"), F.col("spread").alias("sb"), F.col("n").alias("n_b"), more.alias("more_b"))
     both = pairs.join(left, "a").join(right, "b").withColumn("spread", F.col("sa") | F.col("sb")).drop("sa", "sb")
-    return both.mapInPandas(_matched, "a bigint, b bigint, n_a bigint, n_b bigint, strength int")
-
-
-#: A context value counts for a string if at least this share of its rows, of those
-#: with a value of its sort, has it. Where none has, the string is `spread`: its
-#: MOST / 2 most frequent count, and that they differ from others' says nothing.
+    agrees = F.arrays_overlap("context_a", "context_b")
+    if pages is not None:
+        both = cut(both)
+        both = both.join(_agreeing(both, now, pages).withColumn("paged", F.lit(True)), ["a", "b"], "left")
+        agrees |= F.col("paged").isNotNull()
+    unknown = F.col("spread") | (F.size("context_a") == 0) | (F.size("context_b") == 0)
+    both = both.withColumn("context", F.when(agrees, 1).when(unknown, 0).otherwise(-1))
+    return both.select("a", "b", "n_a", "n_b", "kind", "style", "readings_a", "readings_b", "context").mapInPandas(_matched, "a bigint, b bigint, n_a bigint, n_b bigint, strength int")
+
+
+#: A string of which no context value of a sort has at least this share of its rows
+#: with a value of that sort is `spread`: that its values differ from others' says nothing.
 CONTEXT_SHARE = 0.2
-#: Context values of a merged profile; one with more is `spread` too.
+#: Context values in a profile's row; those beyond stand on pages of as many at most.
+#: A merged profile with more is `spread` too.
 MOST = 64
 
 
-def resolve(names: DataFrame) -> DataFrame:
+def _some(pages: DataFrame) -> DataFrame | None:
+    pages = cut(pages)
+    return pages if pages.limit(1).count() else None
+
+
+def resolve(names: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """(id, cluster) of every string that names someone. Every round with a match
-    merges at least two profiles, so the rounds come to an end by themselves."""
+    merges at least two profiles, so the rounds come to an end by themselves.
+    pages: (id, context) of further context values of the strings."""
     now = cut(profiles(names).withColumn("fresh", F.lit(True)))
+    if pages is not None:
+        pages = _some(pages.join(now.select("id"), "id"))
     members = now.select("id", F.col("id").alias("cluster"))
     while True:
-        found = matches(now)
+        found = matches(now) if pages is None else matches(now, pages)
         rank = lambda s: F.struct(F.col(f"n_{s}").alias("n"), F.col(s).alias("id"))
         up = found.select("strength", F.least(rank("a"), rank("b")).alias("low"), F.greatest(rank("a"), rank("b")).alias("high"))
         best = up.groupBy(F.col("low.id").alias("node")).agg(F.max(F.struct("strength", "high")).alias("best"))
@@ -411,7 +455,7 @@ def resolve(names: DataFrame) -> DataFrame:
         if not moved:
             return members
         members = cut(members.join(grouped.select(F.col("id").alias("cluster"), "root"), "cluster").select("id", F.col("root").alias("cluster")))
-        now = cut(
+        merged = cut(
             grouped.groupBy(F.col("root").alias("id")).agg(
                 F.first("kind").alias("kind"),
                 F.first("style").alias("style"),
@@ -424,16 +468,23 @@ def resolve(names: DataFrame) -> DataFrame:
                 # their best match. What they were set back from has the ruling part now, so the
                 # refused merge is no match any more, and at least two of its members stay merged.
                 ((F.count(F.lit(1)) > 1) | F.bool_or("out")).alias("fresh"),
-            ).withColumns({"context": F.slice("all", 1, MOST), "spread": F.col("spread") | (F.size("all") > MOST)}).drop("all")
+            ).withColumns({"context": F.slice("all", 1, MOST), "rest": F.slice("all", MOST + 1, 2**31 - 1), "spread": F.col("spread") | (F.size("all") > MOST)}).drop("all")
         )
+        now, beyond = merged.drop("rest"), merged.filter(F.size("rest") > 0)
+        if pages is not None or beyond.limit(1).count():
+            cuts = F.transform(F.sequence(F.lit(0), F.floor((F.size("rest") - 1) / MOST).cast("int")), lambda i: F.slice("rest", i * MOST + 1, MOST))
+            turned = beyond.select("id", F.explode(cuts).alias("context"))
+            if pages is not None:
+                turned = turned.union(pages.join(grouped.select("id", "root"), "id").select("root", "context"))
+            pages = cut(turned)
 
 
-def strings(rows: DataFrame, columns: Sequence[tuple[str, str, dict[str, Column], Column]]) -> DataFrame:
+def strings(rows: DataFrame, columns: Sequence[tuple[str, str, dict[str, Column], Column]]) -> tuple[DataFrame, DataFrame]:
     """(id, kind, name, is_person, context, spread, n) of the distinct strings of
-    columns, each given as kind, name, context values by their sort, whether a person.
+    columns, each given as kind, name, context values by their sort, whether a person;
+    and pages (id, context) of the context values that are too many for a row.
 
-    The context is of values of each sort that at least CONTEXT_SHARE of the rows with
-    a value of it have, or else the most frequent; placeholders are no values."""
+    The context is all values its rows have; placeholders are no values."""
     slots = []
     for kind, name, values, is_person in columns:
         found = F.filter(F.array(*[F.struct(F.lit(s).alias("s"), v.alias("v")) for s, v in values.items()]), lambda x: ~F.lower(x["v"]).isin(*PLACEHOLDERS))
@@ -444,11 +495,13 @@ def strings(rows: DataFrame, columns: Sequence[tuple[str, str, dict[str, Column]
     counted = every.filter("s = ''").select("kind", "name", F.col("k").alias("n"), (F.col("p") >= 0).alias("is_person"))
     uses = every.filter("s <> ''").select("kind", "name", "s", "v", "k")
     totals = uses.groupBy("kind", "name", "s").agg(F.sum("k").alias("total"), F.max("k").alias("top"))
-    most = uses.withColumn("place", F.row_number().over(Window.partitionBy("kind", "name", "s").orderBy(F.col("k").desc(), "v"))).filter(F.col("place") <= MOST // 2)
-    kept = most.join(totals, ["kind", "name", "s"]).withColumn("wide", F.col("top") < CONTEXT_SHARE * F.col("total")).filter("wide OR k >= " + str(CONTEXT_SHARE) + " * total")
-    context = kept.groupBy("kind", "name").agg(F.array_sort(F.collect_set(F.concat_ws(":", "s", "v"))).alias("context"), F.bool_or("wide").alias("spread"))
-    both = counted.join(context, ["kind", "name"], "left").withColumns({"context": F.coalesce("context", F.array().cast("array<string>")), "spread": F.coalesce("spread", F.lit(False))})
-    return both.select(F.xxhash64("kind", "name").alias("id"), "kind", "name", "is_person", "context", "spread", "n")
+    place = F.row_number().over(Window.partitionBy("kind", "name", "s").orderBy(F.col("k").desc(), "v"))
+    placed = uses.withColumn("page", F.floor((place - 1) / (MOST // 2)))
+    kept = placed.join(totals, ["kind", "name", "s"]).withColumn("wide", F.col("top") < CONTEXT_SHARE * F.col("total"))
+    parts = cut(kept.groupBy("kind", "name", "page").agg(F.array_sort(F.collect_set(F.concat_ws(":", "s", "v"))).alias("context"), F.bool_or("wide").alias("spread")))
+    key = F.xxhash64("kind", "name").alias("id")
+    both = counted.join(parts.filter("page = 0"), ["kind", "name"], "left").withColumns({"context": F.coalesce("context", F.array().cast("array<string>")), "spread": F.coalesce("spread", F.lit(False))})
+    return both.select(key, "kind", "name", "is_person", "context", "spread", "n"), parts.filter("page > 0").select(key, "context")
 
 
 def resolved(df: DataFrame) -> DataFrame:
@@ -458,8 +511,9 @@ def resolved(df: DataFrame) -> DataFrame:
     code = {"code": F.upper(F.trim(F.coalesce("committee_code", F.lit(""))))}
     place = {"zip": zip5, "employer": F.upper(F.trim(F.coalesce("entity_employer", F.lit(""))))}
     yes = F.lit(True)
-    names = cut(strings(df, [("entity", "entity_name", place, F.col("entity_is_individual")), ("candidate", "candidate_name", code, yes), ("committee", "committee_name", code, yes)]))
-    return names.select("id", "kind", "name").join(resolve(names), "id").select("kind", "name", "cluster")
+    names, pages = strings(df, [("entity", "entity_name", place, F.col("entity_is_individual")), ("candidate", "candidate_name", code, yes), ("committee", "committee_name", code, yes)])
+    names = cut(names)
+    return names.select("id", "kind", "name").join(resolve(names, pages), "id").select("kind", "name", "cluster")
 
 
 def same_names(df: DataFrame) -> DataFrame:

@@ -131,6 +131,34 @@ def test_a_name_of_many_places_keeps_its_context(spark):
     assert got == {("A. Castleford", "Ann Castleford"), ("Ann Castleford", "Castleford, Anne"), ("A. Castleford", "Castleford, Anne")}
 
 
+def test_no_context_value_of_a_name_of_many_places_is_lost(spark):
+    rows = [{"entity_name": n, "entity_zip": f"{22000 + i}", "entity_is_individual": True} for n in ("Ann Castleford", "Castleford, Ann") for i in range(150)]
+    rows += [{"entity_name": n, "entity_zip": z, "entity_is_individual": True} for n, z in (("A. Castleford", "22149"), ("Ann Cazdleford", "22120"), ("A Castlefordd", "29999"))]
+    got = {(r.name_a, r.name_b) for r in N.same_names(table(spark, rows)).collect()}
+    one = sorted(("Ann Castleford", "Castleford, Ann", "A. Castleford", "Ann Cazdleford"), key=str.encode)
+    assert got == {(a, b) for i, a in enumerate(one) for b in one[i + 1 :]}
+
+
+def test_a_rare_context_value_counts(spark):
+    rows = [{"candidate_name": n, "committee_code": c} for n, c, k in (("Ann Castleford", "CC-1", 9), ("Ann Castleford", "CC-2", 1), ("A. Castleford", "CC-2", 1), ("E. Castleford", "CC-3", 1)) for _ in range(k)]
+    assert [(r.name_a, r.name_b) for r in N.same_names(table(spark, rows)).collect()] == [("A. Castleford", "Ann Castleford")]
+
+
+def test_names_of_many_places_agree_in_any_of_them(spark):
+    rows = [{"entity_name": n, "entity_zip": f"{i}", "entity_is_individual": True} for n, start in (("A. Castleford", 22000), ("Ann Castleford", 22199), ("E. Castleford", 23000), ("Eve Castleford", 23200)) for i in range(start, start + 200)]
+    got = {(r.name_a, r.name_b) for r in N.same_names(table(spark, rows)).collect()}
+    assert got == {("A. Castleford", "Ann Castleford")}
+
+
+def test_no_context_value_of_a_merged_name_is_lost(spark):
+    forms = ["Ann Castleford", "ANN CASTLEFORD", "ann castleford", "Castleford, Ann", "CASTLEFORD, ANN", "castleford, ann", "Ann  Castleford", "Castleford,Ann", "Ms Ann Castleford", "Dr Ann Castleford", "Hon. Ann Castleford", "Rev Ann Castleford", "Miss Ann Castleford", "Ann Castleford."]
+    rows = [{"candidate_name": n, "committee_code": f"CC-{i:02}{j}"} for i, n in enumerate(forms) for j in range(5)]
+    rows += [{"candidate_name": n, "committee_code": "ZZ"} for n in ("Ann Castlefrod", "Ann Cazdleford")]  # alike only by what the merged name has of both
+    got = {(r.name_a, r.name_b) for r in N.same_names(table(spark, rows)).collect()}
+    one = sorted([*forms, "Ann Castlefrod", "Ann Cazdleford"], key=str.encode)
+    assert got == {(a, b) for i, a in enumerate(one) for b in one[i + 1 :]}
+
+
 def test_classes(spark):
     rows = [{"candidate_name": n, "committee_code": "CC-1"} for n in ("Ann Castleford", "Castleford, Ann", "Bo Lee", "N/A", None)]
     got = {tuple(r) for r in N.name_classes(table(spark, rows)).collect()}
